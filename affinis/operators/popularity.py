@@ -26,7 +26,7 @@ def popularity(train: DataFrame) -> DataFrame:
         .select(
             "interaction_count",
             (F.col("_n") - F.col("_upto") + 1).cast("int").alias("popularity_rank"),
-            F.round(
+            F.bround(
                 (F.col("_upto") - (F.col("_ties") - 1) / 2) / F.col("_n") * 100, 1
             ).alias("popularity_percentile"),
         )
