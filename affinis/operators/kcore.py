@@ -51,7 +51,7 @@ def kcore_filter(
         gone += found[1]
         if gone > _REWRITE_SHARE * base_rows:
             base = cut_lineage(current)
-            base_rows = base.count()
+            base_rows -= gone  # close enough to time the next rewrite
             current, out, gone = base, None, 0
     return current
 
