@@ -61,21 +61,19 @@ def block_topk(
         skip = skip if skip is None else skip.withColumnRenamed("query_id", "skip_key")
     key_type = q.schema["skip_key"].dataType
 
-    # one row per cell: how many query blocks and item slices it gets
+    # one row per cell: how many query blocks and item slices it gets. Enough tasks for
+    # the work, arranged so that the rows copied (queries x slices + items x blocks) are few.
+    tasks = F.least(F.ceil(F.col("nq") * F.col("ni") / 4_000_000), F.lit(4 * parallel))
+    slices = F.least(tasks, F.round(F.sqrt(tasks * F.col("ni") / F.col("nq"))), F.col("ni"))
     grid = (
         q.groupBy("cell").agg(F.count(F.lit(1)).alias("nq"))
         .join(i.groupBy("cell").agg(F.count(F.lit(1)).alias("ni")), "cell")
+        .withColumn("s_n", F.greatest(F.ceil(F.col("ni") / item_slice), slices, F.lit(1)).cast("int"))
+        .withColumn(
+            "g_n", F.greatest(F.ceil(F.col("nq") / query_block), F.ceil(tasks / F.col("s_n")), F.lit(1)).cast("int")
+        )
         .select(
-            "cell",
-            F.ceil(F.col("nq") / query_block).cast("int").alias("g_n"),
-            F.greatest(
-                F.ceil(F.col("ni") / item_slice),
-                # a few queries over many items still spread over the cluster
-                F.least(
-                    F.ceil(F.col("nq") * F.col("ni") / 4_000_000), F.lit(parallel),
-                    F.ceil(F.col("ni") / 256),
-                ),
-            ).cast("int").alias("s_n"),
+            "cell", "g_n", "s_n",
             F.greatest(F.ceil(F.col("ni") / item_chunk), F.lit(1)).cast("int").alias("c_n"),
         )
     )
@@ -88,9 +86,13 @@ def block_topk(
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
+    # single-precision vectors travel as such and are widened inside the task
+    narrow = T.ArrayType(T.FloatType())
+    is_narrow = all(df.schema["vec"].dataType.simpleString() == narrow.simpleString() for df in (q, i))
+    wide_type = "array<float>" if is_narrow else "array<double>"
     none = {
         "query_id": F.lit(None).cast(q_type), "skip_key": F.lit(None).cast(key_type), "item_id": F.lit(None).cast("bigint"),
-        "vec": F.lit(None).cast("array<double>"), "k": F.lit(None).cast("int"),
+        "vec": F.lit(None).cast(wide_type), "k": F.lit(None).cast("int"),
         "genres": F.lit(None).cast("array<string>"), "year_min": F.lit(None).cast("int"),
         "year_max": F.lit(None).cast("int"), "year": F.lit(None).cast("int"),
     }
@@ -101,7 +103,7 @@ def block_topk(
         base = base.withColumn("s", s) if kind != _ITEM else base.withColumn("g", g)
         return base.select("cell", "g", "s", chunk.alias("chunk"), F.lit(kind).alias("kind"), *body)
 
-    wide = F.col("vec").cast("array<double>")
+    wide = F.col("vec").cast(wide_type)
     parts = rows(
         q, _QUERY, spread("query_id", "g_n", 1), every("s_n"), F.lit(-1),
         query_id=F.col("query_id"), skip_key=F.col("skip_key"), vec=wide, k=F.coalesce("k", F.lit(k)), genres=F.col("genres"),
@@ -152,7 +154,7 @@ def _with_defaults(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
     n = len(column)
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, -1)
 
 
 def _numbers(column: pa.Array, missing: float) -> np.ndarray:
@@ -175,6 +177,7 @@ class _GridCell:
         if self.index is not None or not self.query_parts:
             return
         t = pa.Table.from_batches(self.query_parts).combine_chunks()
+        t = t.sort_by([("year_min", "ascending"), ("year_max", "ascending")])
         self.ids = t.column("query_id").combine_chunks()
         self.index = pd.Index(self.ids.to_pandas())
         self.key_of, keys = pd.factorize(t.column("skip_key").to_pandas())
@@ -184,8 +187,15 @@ class _GridCell:
         self.floor = np.full(len(self.k), -np.inf)
         self.low = _numbers(t.column("year_min").combine_chunks(), -np.inf)
         self.high = _numbers(t.column("year_max").combine_chunks(), np.inf)
-        self.wanted = [g or None for g in t.column("genres").to_pylist()]
-        self.filtered = np.array([g is not None for g in self.wanted]) | np.isfinite(self.low) | np.isfinite(self.high)
+        wanted = [tuple(g) if g else None for g in t.column("genres").to_pylist()]
+        # queries asking for the same genres and years share one filter
+        codes: dict[tuple, int] = {}
+        self.filter_of = np.array(
+            [codes.setdefault(f, len(codes)) for f in zip(wanted, self.low.tolist(), self.high.tolist())],
+            np.int64,
+        )
+        self.filters = list(codes)
+        self.open = codes.get((None, -np.inf, np.inf), -1)
 
     def add_skips(self, part: pa.RecordBatch) -> None:
         self._prepare()
@@ -203,8 +213,9 @@ class _GridCell:
         chunk = part.column("chunk")[0].as_py()
         ids = part.column("item_id").to_numpy()
         vec = _matrix(part.column("vec"))
-        year = _numbers(part.column("year"), np.nan) if self.filtered.any() else None
-        has = self._genre_rows(part) if self.filtered.any() else None
+        filtered = (self.filter_of != self.open).any()
+        year = _numbers(part.column("year"), np.nan) if filtered else None
+        has = self._genre_rows(part) if filtered else None
         skip_r = skip_c = np.zeros(0, np.int64)
         if self.skip_chunk == chunk and self.skips:
             where = pd.Index(ids).get_indexer(np.concatenate([s[1] for s in self.skips]))
@@ -226,8 +237,10 @@ class _GridCell:
                 own = pd.Index(ids).get_indexer(self.index[s:e])
                 rows = np.flatnonzero(own >= 0)
                 score[rows, own[rows]] = -np.inf
-            for r in np.flatnonzero(self.filtered[s:e]):
-                score[r, ~self._passes(s + r, year, has)] = -np.inf
+            if filtered:
+                used, which = np.unique(self.filter_of[s:e], return_inverse=True)
+                masks = np.stack([self._passes(f, year, has) for f in used])
+                score[~masks[which]] = -np.inf
             self._keep(score, s, ids)
 
     def _genre_rows(self, part: pa.RecordBatch) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -238,13 +251,16 @@ class _GridCell:
         by_name = {name: rows[at] for name, at in names.groupby(names).indices.items()}
         return by_name, genres.is_null().to_numpy(zero_copy_only=False)
 
-    def _passes(self, q: int, year: np.ndarray, has) -> np.ndarray:
-        unknown = np.isnan(year)
-        ok = unknown | ((year >= self.low[q]) & (year <= self.high[q]))
-        if self.wanted[q] is not None:
+    def _passes(self, code: int, year: np.ndarray, has) -> np.ndarray:
+        """Items of this batch that pass one filter."""
+        if code == self.open:
+            return np.ones(len(year), bool)
+        wanted, low, high = self.filters[code]
+        ok = np.isnan(year) | ((year >= low) & (year <= high))
+        if wanted is not None:
             by_name, featureless = has
             match = np.zeros(len(ok), bool) if self.strict_genre else featureless.copy()
-            for name in self.wanted[q]:
+            for name in wanted:
                 match[by_name.get(name, [])] = True
             ok &= match
         return ok

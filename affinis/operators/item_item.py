@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from affinis.session import cut_lineage
+
 BLOCK_ITEMS = 2048
 CHUNK_ROWS = 4_000_000
 _PAIR_STEP = 2_000_000  # item pairs expanded at a time inside a task
@@ -46,7 +48,9 @@ def item_item_fit(
         F.col(item).cast("bigint").alias("i"),
         F.col(value).cast("double").alias("v"),
     )
-    placed = _place_items(cells, block_items, chunk_rows)
+    # one row per item, used by every later step
+    placed = cut_lineage(_place_items(cells, block_items, chunk_rows))
+    whole = placed.filter("chunks > 1").isEmpty()
     entries = (
         cells.join(placed, "i")
         .groupBy("u", "block")
@@ -74,10 +78,13 @@ def item_item_fit(
     )
     grouped = pairs.repartition("a", "b", "s").sortWithinPartitions("a", "b", "s", "u", "side")
     partial = grouped.mapInArrow(_block_products(k_neighbors, min_similarity), _PARTIAL_SCHEMA)
+    if not whole:
+        # blocks cut into user chunks left partial sums
+        partial = partial.groupBy("item_i", "item_j").agg(
+            F.sum("dot").alias("dot"), F.first("norm2").alias("norm2")
+        )
     sims = (
-        partial.groupBy("item_i", "item_j")
-        .agg(F.sum("dot").alias("dot"), F.first("norm2").alias("norm2"))
-        .select("item_i", "item_j", (F.col("dot") / F.sqrt("norm2")).alias("sim"))
+        partial.select("item_i", "item_j", (F.col("dot") / F.sqrt("norm2")).alias("sim"))
         .filter(F.col("sim") != 0)
     )
     if min_similarity > 0:
@@ -344,9 +351,10 @@ def _pad(top, scores, liked, skip, allowed, catalog, n, user, item) -> DataFrame
         .fillna(0, ["_have"])
         .filter(F.col("_have") < n)
     )
-    blocked = scores.select(user, item)
+    blocked = scores.select(user, item).join(short.select(user), user, "left_semi")
     if skip is not None:
-        blocked = blocked.unionByName(skip)
+        blocked = blocked.unionByName(skip.join(short.select(user), user, "left_semi"))
+    blocked = blocked.distinct()
     pool = catalog.select(F.col(item).cast("bigint").alias(item))
     if allowed is not None:
         from affinis.operators.prefix import dense_ids
@@ -355,7 +363,6 @@ def _pad(top, scores, liked, skip, allowed, catalog, n, user, item) -> DataFrame
         places = dense_ids(pool, item, "_pos").withColumnRenamed("id", item)
     else:
         places = pool.withColumn("_pos", F.col(item))
-    blocked = blocked.distinct().join(short.select(user), user, "left_semi")
     size = pool.agg(F.count(F.lit(1)).alias("m")).scalar()
     reach = (
         short.join(blocked.groupBy(user).agg(F.count(F.lit(1)).alias("_s")), user, "left")

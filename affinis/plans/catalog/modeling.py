@@ -322,7 +322,8 @@ def knn_lsh(spark, sf):
 # --- ALS ------------------------------------------------------------------------------
 
 
-def _als(spark, sf):
+def fitted(spark, sf):
+    """The ALS factors as a stage."""
     return stage(spark, sf, "als", lambda: als.als_fit(prepared(spark, sf).matrix))
 
 
@@ -336,23 +337,23 @@ def als_fit(spark, sf):
 @query("als_recommend")
 def als_recommend(spark, sf):
     p = prepared(spark, sf)
-    return als.als_recommend(_als(spark, sf), p.matrix.select("user_idx"), 10, p.matrix)
+    return als.als_recommend(fitted(spark, sf), p.matrix.select("user_idx"), 10, p.matrix)
 
 
 @query("als_similar")
 def als_similar(spark, sf):
-    return als.als_similar(_als(spark, sf), prepared(spark, sf).matrix.select("item_idx"), 10)
+    return als.als_similar(fitted(spark, sf), prepared(spark, sf).matrix.select("item_idx"), 10)
 
 
 @query("als_score")
 def als_score(spark, sf):
-    return als.als_score(_als(spark, sf), prepared(spark, sf).matrix.select("user_idx", "item_idx"))
+    return als.als_score(fitted(spark, sf), prepared(spark, sf).matrix.select("user_idx", "item_idx"))
 
 
 @query("embeddings_get")
 def embeddings_get(spark, sf):
     ids = prepared(spark, sf).users.select("idx")
-    return als.embeddings_get(_als(spark, sf).users, ids)
+    return als.embeddings_get(fitted(spark, sf).users, ids)
 
 
 @query("train_all")

@@ -214,12 +214,12 @@ def fallback_for_user(spark, sf):
     "route_requests",
     q.POPULAR + f", {_FEATURES}, {q.REQUESTS}, {q.VECTORS}, {_LIKED}, {_DOTS}, {_LISTS}, {_FALLBACK}, "
     + """warm AS (SELECT * FROM requests WHERE user_id IN (SELECT user_id FROM user_vectors)),
-    model_arrays AS (SELECT request_id, string_agg(item_id, ',' ORDER BY rank) AS recommendations, sum(score) AS total FROM model_lists GROUP BY 1),
-    cold_arrays AS (SELECT request_id, string_agg(item_id, ',' ORDER BY rank) AS recommendations, sum(score) AS total FROM cold_lists GROUP BY 1)
-    SELECT request_id, user_id, coalesce(recommendations, '') AS recommendations, round(coalesce(total, 0), 6) AS total, 'v1' AS model_version,
+    model_arrays AS (SELECT request_id, string_agg(item_id, ',' ORDER BY rank) AS recommendations, sum(CAST(round(score * 1e9) AS BIGINT)) AS total FROM model_lists GROUP BY 1),
+    cold_arrays AS (SELECT request_id, string_agg(item_id, ',' ORDER BY rank) AS recommendations, sum(CAST(round(score * 1e9) AS BIGINT)) AS total FROM cold_lists GROUP BY 1)
+    SELECT request_id, user_id, coalesce(recommendations, '') AS recommendations, CAST(coalesce(total, 0) AS BIGINT) AS total, 'v1' AS model_version,
       false AS is_fallback, CAST(NULL AS VARCHAR) AS fallback_reason FROM warm LEFT JOIN model_arrays USING (request_id)
     UNION ALL
-    SELECT r.request_id, r.user_id, coalesce(recommendations, ''), round(coalesce(total, 0), 6), 'v1', true,
+    SELECT r.request_id, r.user_id, coalesce(recommendations, ''), CAST(coalesce(total, 0) AS BIGINT), 'v1', true,
       CASE WHEN r.seed_item IN (SELECT item_id FROM vectors) THEN 'similar_to_seed:' || r.seed_item
            WHEN r.genres IS NOT NULL THEN 'popularity:genre=' || r.genres[1] ELSE 'popularity' END
     FROM requests r ANTI JOIN warm w USING (request_id) LEFT JOIN cold_arrays USING (request_id)""",
@@ -229,7 +229,9 @@ def route_requests(spark, sf):
         td.requests(spark, sf), td.user_vectors(spark, sf), td.vectors(spark, sf), _features(spark, sf),
         prepared(spark, sf).popularity, _liked(spark, sf), "v1",
     )
-    total = F.round(F.aggregate("scores", F.lit(0.0), lambda a, x: a + x), 6)
+    # the scores have nine digits, so their sum is exact in whole billionths
+    billionths = F.transform("scores", lambda x: F.round(x * 1e9).cast("bigint"))
+    total = F.aggregate(billionths, F.lit(0).cast("bigint"), lambda a, x: a + x)
     return out.select(
         "request_id", "user_id", F.concat_ws(",", "recommendations").alias("recommendations"), total.alias("total"),
         "model_version", "is_fallback", "fallback_reason",
