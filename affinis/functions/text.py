@@ -90,6 +90,11 @@ def genre_label(genres: Column | str) -> Column:
     return F.when(joined == "", F.lit("Unknown")).otherwise(joined)
 
 
+def similarity_percent(score: Column | str) -> Column:
+    """Similarity as shown to users: times 100."""
+    return _col(score) * 100
+
+
 def fallback_kind(reason: Column | str) -> Column:
     """Class of a fallback reason: popularity, genre, seed or other; null when absent."""
     r = _col(reason)

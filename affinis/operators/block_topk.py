@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-QUERY_BLOCK = 32_768
+QUERY_BLOCK = 16_384
 ITEM_SLICE = 262_144
 ITEM_CHUNK = 8_192
 _STEP = 512  # queries scored at a time
@@ -275,7 +275,7 @@ class _GridCell:
         r, c = np.nonzero((score >= bar[:, None]) & (score > -np.inf))
         self.best.append((r + s, score[r, c], ids[c]))
         self.held += len(r)
-        if self.held > 4 * int(self.k.sum()) + 1_000_000:
+        if self.held > 2 * int(self.k.sum()) + 1_000_000:
             self._cut()
 
     def _cut(self) -> None:

@@ -287,9 +287,10 @@ def _block_products(k: int | None, min_sim: float):
 def liked_scores(edges: DataFrame, history: DataFrame, user: str = "user_idx", item: str = "item_idx") -> DataFrame:
     """``(user, item, score)``: similarity of each reachable item summed over the history.
 
-    Scores are rounded to 9 digits so that equal sums tie whatever the order of addition.
+    ``history`` has one row per (user, item), as the interaction matrix does. Scores are
+    rounded to 9 digits so that equal sums tie whatever the order of addition.
     """
-    h = history.select(user, F.col(item).alias("item_i")).distinct()
+    h = history.select(user, F.col(item).alias("item_i"))
     return (
         h.join(edges, "item_i")
         .groupBy(user, F.col("item_j").alias(item))
@@ -315,14 +316,14 @@ def item_item_recommend(
     user: str = "user_idx",
     item: str = "item_idx",
 ) -> DataFrame:
-    """``(user, rank, item, score)`` for every user with a history.
+    """``(user, rank, item, score)`` for every user with a history (one row per user and item).
 
     ``excluded`` holds further (user, item) pairs to skip, ``allowed`` the only items to
     score. With ``fill_zero`` users short of ``n`` items are padded with zero-score items
     of ``catalog`` (dense indices 0..m-1) in index order.
     """
     scores = liked_scores(edges, history, user, item)
-    liked = history.select(user, item).distinct()
+    liked = history.select(user, item)
     skip = liked if exclude_liked else None
     if excluded is not None:
         extra = excluded.select(user, item)

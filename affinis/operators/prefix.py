@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from affinis.session import cut_lineage
+from affinis.session import fix_partitions
 
 BUCKETS = 64
 
@@ -100,7 +100,7 @@ def row_positions(df: DataFrame, order: list[str], name: str = "pos") -> DataFra
     matter), written once so that partition numbers are fixed, and each partition
     adds the row counts of the partitions before it.
     """
-    ordered = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    ordered = fix_partitions(df.repartitionByRange(*order).sortWithinPartitions(*order))
     in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     placed = ordered.withColumn("_p", F.spark_partition_id()).withColumn("_i", in_part)
     sizes = placed.groupBy("_p").agg((F.max("_i") + 1).alias("_n"))

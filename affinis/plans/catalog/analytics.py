@@ -511,3 +511,74 @@ def catalog_coverage(spark, sf):
 
     shown = td.request_log(spark, sf).select(F.posexplode(fx.json_ids("recommendations")).alias("p", "item_id"))
     return coverage(shown.withColumn("rank", F.col("p") + 1), td.items(spark, sf))
+
+
+# --- streams --------------------------------------------------------------------------
+
+
+def _log_stream(spark, sf):
+    """The events table arriving as a stream of log rows."""
+    schema = td.table(spark, sf, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    kind = F.col("event_type")
+    return events.select(
+        F.col("event_id").cast("string").alias("request_id"),
+        F.col("ts").cast("timestamp").alias("timestamp"), "user_id",
+        F.when(kind == "click", "/similar").when(kind == "purchase", "/popular").otherwise("/recommend").alias("endpoint"),
+        F.col("value").alias("latency_ms"), (F.col("event_id") % 7 == 0).alias("is_fallback"),
+    )
+
+
+def _scratch(spark, name):
+    import uuid
+
+    from affinis.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark)}/{name}_{uuid.uuid4().hex}"
+
+
+@query(
+    "stream_log_ingest",
+    _LOG + "SELECT endpoint, count(*) AS n, count(DISTINCT request_id) AS n_ids, sum(latency_ms) AS latency FROM request_log GROUP BY 1",
+)
+def stream_log_ingest(spark, sf):
+    """Ingest the stream twice over; repeats of a request id are dropped."""
+    from affinis.streaming.jobs import stream_log_ingest as ingest
+
+    once = _log_stream(spark, sf)
+    path = _scratch(spark, "stream_log")
+    ingest(once.union(_log_stream(spark, sf)), path, path + "_state", once=True).awaitTermination()
+    return spark.read.parquet(path).groupBy("endpoint").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("request_id").alias("n_ids"), F.sum("latency_ms").alias("latency")
+    )
+
+
+@query(
+    "stream_kpis",
+    _LOG + """SELECT strftime(time_bucket(INTERVAL '1 day', timestamp), '%Y-%m-%d') AS day, count(*) AS total_requests, avg(latency_ms) AS mean_ms,
+      avg(CAST(event_id % 7 = 0 AS INTEGER)) FILTER (endpoint = '/recommend') AS fallback_rate
+    FROM (SELECT ts AS timestamp, value AS latency_ms, event_id, endpoint FROM base_log)
+    GROUP BY 1 HAVING max(CAST(timestamp AS DATE)) < (SELECT max(CAST(ts AS DATE)) FROM events)""",
+)
+def stream_kpis(spark, sf):
+    """Daily figures of all closed windows (the last day stays open)."""
+    from affinis.streaming.jobs import stream_kpis as figures
+
+    path = _scratch(spark, "stream_kpis")
+    figures(_log_stream(spark, sf), path, path + "_state", "1 day", once=True).awaitTermination()
+    return spark.read.parquet(path).select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "total_requests", "mean_ms", "fallback_rate"
+    )
+
+
+@query(
+    "window_kpis",
+    _LOG + """SELECT strftime(time_bucket(INTERVAL '1 hour', timestamp), '%Y-%m-%d %H') AS hour, count(*) AS total_requests, avg(latency_ms) AS mean_ms,
+      avg(CAST(is_fallback AS INTEGER)) FILTER (endpoint = '/recommend') AS fallback_rate FROM request_log GROUP BY 1""",
+)
+def window_kpis(spark, sf):
+    from affinis.streaming.jobs import window_kpis as figures
+
+    return figures(td.request_log(spark, sf)).select(
+        F.date_format("window_start", "yyyy-MM-dd HH").alias("hour"), "total_requests", "mean_ms", "fallback_rate"
+    )

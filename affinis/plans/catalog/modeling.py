@@ -206,6 +206,23 @@ _one_metric("ndcg_at_k", "ndcg")
 _one_metric("hit_at_k", "hit")
 _one_metric("reciprocal_rank", "reciprocal_rank")
 
+@query("first_hit_position", _METRICS + "SELECT user_idx, min(rank) AS first FROM marked WHERE hit GROUP BY 1")
+def first_hit_position(spark, sf):
+    """Place of each user's first relevant item, from the reciprocal rank."""
+    hit = _user_metrics(spark, sf).filter((F.col("reciprocal_rank") > 0) & (F.col("k") == 5))
+    return hit.select("user_idx", F.round(1 / F.col("reciprocal_rank")).cast("int").alias("first"))
+
+
+@query(
+    "set_intersection",
+    _METRICS + "SELECT user_idx, item_idx FROM scored_recs WHERE rank <= 10 INTERSECT SELECT user_idx, item_idx FROM relevant",
+)
+def set_intersection(spark, sf):
+    """Recommended items that turned out relevant."""
+    top = _recs(spark, sf).filter("rank <= 10").select("user_idx", "item_idx")
+    return top.intersect(_relevance(spark, sf).select("user_idx", "item_idx"))
+
+
 _TESTED = "tested AS (SELECT * FROM user_metrics SEMI JOIN n_rel USING (user_idx))"
 _MEANS = """means AS (
   SELECT 'precision' AS metric, k, avg(precision) AS value FROM tested GROUP BY k

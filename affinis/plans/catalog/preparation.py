@@ -208,6 +208,23 @@ def holdout_capped(spark, sf):
     return split.holdout_n_per_user(_positioned(spark, sf), 1, 10, 2000).select("user_id", "item_id", "pos", "is_test")
 
 
+@query(
+    "set_difference",
+    q.PREPARED + """(SELECT 'user' AS side, user_id AS id FROM ratings EXCEPT SELECT 'user', user_id FROM train)
+    UNION ALL (SELECT 'item', item_id FROM ratings EXCEPT SELECT 'item', item_id FROM train)""",
+)
+def set_difference(spark, sf):
+    """Rated users and items that training does not know."""
+    p, rated = prepared(spark, sf), td.ratings(spark, sf)
+
+    def new(column, side):
+        return rated.select(F.lit(side).alias("side"), F.col(column).alias("id")).subtract(
+            p.train.select(F.lit(side), F.col(column))
+        )
+
+    return new("user_id", "user").unionByName(new("item_id", "item"))
+
+
 # --- ids ------------------------------------------------------------------------------
 
 
@@ -295,6 +312,16 @@ def popularity_all(spark, sf):
     return popularity.popularity(td.ratings(spark, sf))
 
 
+@query("popularity_rank", q.POPULAR + "SELECT item_id, popularity_rank FROM popularity")
+def popularity_rank(spark, sf):
+    return popularity.popularity(prepared(spark, sf).train).select("item_id", "popularity_rank")
+
+
+@query("popularity_percentile", q.POPULAR + "SELECT item_id, popularity_percentile FROM popularity")
+def popularity_percentile(spark, sf):
+    return popularity.popularity(prepared(spark, sf).train).select("item_id", "popularity_percentile")
+
+
 @query(
     "popularity_stats",
     q.POPULAR + "SELECT min(interaction_count) AS min_count, quantile_cont(interaction_count, 0.5) AS median_count, max(interaction_count) AS max_count FROM popularity",

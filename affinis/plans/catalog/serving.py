@@ -93,12 +93,13 @@ def enrich(spark, sf):
 @query(
     "display_fields",
     _CAND + """SELECT request_id, item_id, CASE WHEN title IS NULL THEN 'Movie ' || item_id ELSE title || ' (' || year || ')' END AS label,
-      coalesce(array_to_string(genres, ', '), 'Unknown') AS genres FROM candidates""",
+      coalesce(array_to_string(genres, ', '), 'Unknown') AS genres, item_id / CAST(2 AS DOUBLE) * 100 AS similarity FROM candidates""",
 )
 def display_fields(spark, sf):
     rows = filters.enrich(_shown(spark, sf), _features(spark, sf))
     return rows.select(
-        "request_id", "item_id", fx.title_label("title", "year").alias("label"), fx.genre_label("genres").alias("genres")
+        "request_id", "item_id", fx.title_label("title", "year").alias("label"), fx.genre_label("genres").alias("genres"),
+        fx.similarity_percent(F.col("item_id") / 2).alias("similarity"),
     )
 
 

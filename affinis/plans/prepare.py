@@ -53,9 +53,12 @@ def prepare(
     ratings: DataFrame, threshold: int = 4, min_user: int = 5, min_item: int = 10,
     train_ratio: float = 0.70, val_ratio: float = 0.15, test_ratio: float = 0.15,
 ) -> Prepared:
-    """Filter, split, and index; the stage tables are written to the checkpoint folder."""
+    """Filter, split, and index; the stage tables are written to the checkpoint folder,
+    the split table by split."""
     interactions = interactions_from(ratings, threshold, min_user, min_item)
-    split = cut_lineage(time_split(interactions, train_ratio, val_ratio, test_ratio))
+    split = cut_lineage(
+        time_split(interactions, train_ratio, val_ratio, test_ratio), partition_by=["split"]
+    )
     train = split.filter(F.col("split") == TRAIN).drop("split")
     users, items = (cut_lineage(m) for m in build_mappings(train))
     matrix = cut_lineage(interaction_matrix(train, users, items))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,10 +38,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured or sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written copy.
+def cut_lineage(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as a table in the checkpoint folder and continue from that table.
 
-    The copy lives in shared storage, so losing an executor does not lose it.
+    The copy lives in shared storage, so losing an executor does not lose it, and later
+    steps read only the columns and partitions they need.
     """
+    path = f"{checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def fix_partitions(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` so that partition numbers and the order inside them stay fixed."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
