@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,13 +18,20 @@ def sort_by_time(interactions: DataFrame) -> DataFrame:
     return interactions.orderBy("timestamp", "user_id", "item_id")
 
 
+def _moment(bound) -> Column:
+    """A time bound; a datetime without zone is wall-clock time, whatever the session zone."""
+    if isinstance(bound, datetime) and bound.tzinfo is None:
+        return F.lit(bound.isoformat(sep=" ")).cast("timestamp_ntz")
+    return bound if isinstance(bound, Column) else F.lit(bound)
+
+
 def in_window(ts: Column, start=None, end=None) -> Column:
     """``start <= ts < end``; a missing bound is open."""
     keep = F.lit(True)
     if start is not None:
-        keep = keep & (ts >= F.lit(start))
+        keep = keep & (ts >= _moment(start))
     if end is not None:
-        keep = keep & (ts < F.lit(end))
+        keep = keep & (ts < _moment(end))
     return keep
 
 

@@ -523,7 +523,11 @@ def _log_stream(spark, sf):
     kind = F.col("event_type")
     return events.select(
         F.col("event_id").cast("string").alias("request_id"),
-        F.col("ts").cast("timestamp").alias("timestamp"), "user_id",
+        # event time as an instant, the wall clock read as UTC
+        F.timestamp_micros(
+            F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts as timestamp_ntz))")
+        ).alias("timestamp"),
+        "user_id",
         F.when(kind == "click", "/similar").when(kind == "purchase", "/popular").otherwise("/recommend").alias("endpoint"),
         F.col("value").alias("latency_ms"), (F.col("event_id") % 7 == 0).alias("is_fallback"),
     )
@@ -567,7 +571,8 @@ def stream_kpis(spark, sf):
     path = _scratch(spark, "stream_kpis")
     figures(_log_stream(spark, sf), path, path + "_state", "1 day", once=True).awaitTermination()
     return spark.read.parquet(path).select(
-        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "total_requests", "mean_ms", "fallback_rate"
+        fx.ts_to_string(F.unix_seconds("window_start")).substr(1, 10).alias("day"),
+        "total_requests", "mean_ms", "fallback_rate",
     )
 
 
