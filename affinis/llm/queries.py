@@ -34,3 +34,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+def held_out():
+    """Documents that the language query never learns from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by profiles of three quarters of the labelled ones."""
+    from affinis.llm.langid import RankOrder, identify
+
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    model = RankOrder.learn(docs.filter(~F.col("held_out")))
+    return identify(docs, model, ["doc_id", "held_out"])
