@@ -49,3 +49,62 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out())
     model = RankOrder.learn(docs.filter(~F.col("held_out")))
     return identify(docs, model, ["doc_id", "held_out"])
+
+
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, number % 3 + 1 AS w, source_size * 3 / (number % 3 + 1) AS ratio FROM s
+), l AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(source_size * 3) OVER before, 0))
+          / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+  FROM w
+  WINDOW before AS (ORDER BY ratio, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), c AS (
+  SELECT level AS common FROM l WHERE level <= ratio ORDER BY ratio, number LIMIT 1
+), t AS (
+  SELECT source, source_size, number,
+         least((source_size * 3)::DOUBLE, w * common) AS target
+  FROM l, c
+), g AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM t
+), h AS (
+  SELECT *, floor(ratio)::BIGINT AS whole, ratio - floor(ratio) AS pi,
+         target - floor(ratio) * source_size AS rest
+  FROM g
+), u AS (
+  SELECT doc_id, size, source_size, target, number, whole, pi, rest,
+         (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT + 0.5::DOUBLE)
+           / 281474976710656::DOUBLE AS u
+  FROM d JOIN h ON d.source IS NOT DISTINCT FROM h.source
+), k AS (
+  SELECT *, CASE WHEN pi <= 0 THEN 1 WHEN pi >= 1 THEN 0
+                 ELSE u * (1 - pi) / (u * (1 - pi) + (1 - u) * pi) END AS key
+  FROM u
+), r AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY number ORDER BY key, doc_id NULLS LAST, size
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM k
+)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN pi > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM r
+"""
+
+
+@query("op9_mix_sources", MIX_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    from affinis.llm.mixing import mix
+
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
