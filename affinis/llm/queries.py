@@ -108,3 +108,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query("op1_quality_rules")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document, by rules learned from the labelled ones."""
+    from affinis.llm.quality import judge
+
+    judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select(*base, "n_distinct_words", "n_upper")
