@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinis.llm import urls
 from affinis.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +119,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return judged.select(*base, "n_distinct_words", "n_upper")
+
+
+@query("op7_url_filter", urls.sql(urls.RULES))
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's URL."""
+    return urls.judge_urls(table(spark, sf_dir, "pages"), urls.RULES).drop("score")
