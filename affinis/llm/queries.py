@@ -125,3 +125,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's URL."""
     return urls.judge_urls(table(spark, sf_dir, "pages"), urls.RULES).drop("score")
+
+
+@query("op8_repeated_passages")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of every document that an earlier one also has."""
+    from affinis.llm.passages import repeated_passages
+
+    found = repeated_passages(table(spark, sf_dir, "documents"))
+    names = ["doc_id", "start_word", "end_word", "first_doc_id", "first_start", "first_end", "similarity"]
+    return found.toDF(*names)
