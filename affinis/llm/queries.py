@@ -135,3 +135,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_passages(table(spark, sf_dir, "documents"))
     names = ["doc_id", "start_word", "end_word", "first_doc_id", "first_start", "first_end", "similarity"]
     return found.toDF(*names)
+
+
+@query("op6_benchmark_leaks")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they hold, at the nearest place."""
+    from affinis.llm.contamination import leaks
+
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    best = F.min(F.struct("distance", "start", "end")).alias("best")
+    return found.groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")).agg(best).select(
+        "doc_id", "item_id", "best.distance", F.col("best.start").alias("start_word"), F.col("best.end").alias("end_word")
+    )
