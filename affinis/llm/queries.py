@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.llm import urls
-from affinis.llm.tables import table
+from affinis.llm.tables import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -147,3 +148,27 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")).agg(best).select(
         "doc_id", "item_id", "best.distance", F.col("best.start").alias("start_word"), F.col("best.end").alias("end_word")
     )
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS hex FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(0, 8), lambda g: list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * g, 5))::INT >> s) & 31), 1)),
+         'string_agg', '')), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first OR first IS NULL THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
+
+@query("op2_warc_archives", WARC_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes every page to archives in the shared folder and reads these back."""
+    from affinis.llm.warc import read_archives, write_archives
+
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    write_archives(table(spark, sf_dir, "pages"), folder)
+    return read_archives(spark, folder, with_payload=False).drop("url", "payload")

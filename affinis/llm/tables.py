@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinis.session import checkpoint_dir
+
 #: White space that separates words.
 SPACES = "[\\x20\\x09-\\x0D]+"
 
@@ -13,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The shared checkpoint folder as a URI."""
+    folder = checkpoint_dir(spark)
+    return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+
+
 def word_array(text: Column) -> Column:
     """The words of a text in order; none for null."""
     parts = F.split(F.coalesce(text, F.lit("")), SPACES)
