@@ -164,13 +164,15 @@ def identify(docs: DataFrame, model: RankOrder, keep: list[str], text_col: str =
     Rows and other columns are not changed; ``keep`` must not hold the two new names.
     """
 
+    own = text_col in keep and dict(docs.dtypes)[text_col] == "string"  # the text need not travel twice
+    rows = docs.select(*keep) if own else docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
+    at = keep.index(text_col) if own else len(keep)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = pc.utf8_lower(b.column(b.num_columns - 1))
-            found = [model.predict(t.as_py()) for t in texts]
-            columns = [*b.columns[:-1], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            found = [model.predict(t.as_py()) for t in pc.utf8_lower(b.column(at))]
+            columns = [*b.columns[: len(keep)], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
 
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
     return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")

@@ -30,3 +30,26 @@ def word_array(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` worked out once for each row, also inside lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Words of 64 bits of the filter of ``may_hold``, whatever the number of ids.
+FILTER_WORDS = 1 << 14
+
+
+def may_hold(ids: DataFrame, column: str) -> Column:
+    """False only for rows whose ``column`` is in no row of ``ids``; never null.
+
+    A filter of fixed size that keeps most rows without a partner out of a shuffle. With very
+    many ids it lets all rows pass, which changes no result.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS * 64))
+    packed = (
+        ids.select(bit.alias("at"))
+        .groupBy(F.shiftright("at", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
+    )
+    words = [0] * FILTER_WORDS
+    for r in packed.collect():  # FILTER_WORDS rows at most
+        words[r.word] = r.bits
+    word = F.get(F.lit(words).cast("array<bigint>"), F.shiftright(bit, 6).cast("int"))
+    return F.coalesce(word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))) != 0, F.lit(False))
