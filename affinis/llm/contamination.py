@@ -17,6 +17,8 @@ from affinis.session import cut_lineage
 #: Share of an item's words that may be edited, least words of an item, sampled places of a key,
 #: share of matches that the keys must reach.
 EDITS, LEAST, SAMPLED, RECALL = 0.2, 5, 2, 0.99
+#: Windows embedded at once in a task.
+AT_ONCE = 1000
 #: Bits of the filter that tasks get, whatever the number of items, as a power of two.
 FILTER = 24
 
@@ -194,6 +196,7 @@ def _hits(sizes: list[int], bits: np.ndarray, reach: int):
                 if out:
                     types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -214,7 +217,7 @@ def _windows(repetitions: int):
     names = ["doc", "start", "region", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(i, AT_ONCE) for x in batches for i in range(0, x.num_rows, AT_ONCE)):
             docs, starts, sizes, firsts, texts = (b.column(i).to_pylist() for i in range(5))
             windows, out = [], []
             for doc, start, n, first, t in zip(docs, starts, sizes, firsts, texts, strict=True):
@@ -239,7 +242,7 @@ def _windows(repetitions: int):
 
 def _item_keys(repetitions: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(i, AT_ONCE) for x in batches for i in range(0, x.num_rows, AT_ONCE)):
             if b.num_rows:
                 keys = lsh_keys(*_padded([t.split(" ") for t in b.column(1).to_pylist()]), repetitions).view(np.int64)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(keys), pa.list_(pa.int64()))], ["item", "t", "keys"])
@@ -259,6 +262,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if out:
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+    pa.default_memory_pool().release_unused()
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:

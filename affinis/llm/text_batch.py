@@ -14,6 +14,8 @@ import pyarrow as pa
 
 #: Bytes of text handled at once.
 CHUNK_BYTES = 1 << 20
+#: Rows of a batch that are copied at once.
+SLICE = 512
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -47,18 +49,17 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.
     """(first row, bytes, offsets of the rows in them) for runs of texts."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
-    n = len(texts)
-    if not n:
-        return
-    _, off, data = texts.buffers()
-    off = np.frombuffer(off, np.int64)[texts.offset : texts.offset + n + 1]
-    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    at = 0
-    while at < n:
-        to = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
-        yield at, data[off[at] : off[to]], off[at : to + 1] - off[at]
-        at = to
+    for base in range(0, len(texts), SLICE):
+        part = texts.slice(base, SLICE).cast(pa.large_string()).fill_null("")
+        n = len(part)
+        _, off, data = part.buffers()
+        off = np.frombuffer(off, np.int64)[part.offset : part.offset + n + 1]
+        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        at = 0
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
+            yield base + at, data[off[at] : off[to]], off[at : to + 1] - off[at]
+            at = to
 
 
 def words(texts: pa.Array, lower: bool = True, limit: int = CHUNK_BYTES, breaks: np.ndarray = SPACE) -> Iterator[Words]:
