@@ -172,3 +172,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(table(spark, sf_dir, "pages"), folder)
     return read_archives(spark, folder, with_payload=False).drop("url", "payload")
+
+
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License statements and notices that documents hold."""
+    from affinis.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
