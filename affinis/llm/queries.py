@@ -180,3 +180,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from affinis.llm.licenses import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query("op5_main_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from affinis.llm.extract import extract
+
+    return extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
