@@ -30,7 +30,7 @@ _QUERY, _SKIP, _ITEM = 0, 1, 2
 def block_topk(
     queries: DataFrame,
     items: DataFrame,
-    k: int,
+    k: int | None = None,
     skip: DataFrame | None = None,
     skip_self: bool = False,
     strict_genre: bool = False,
@@ -41,8 +41,9 @@ def block_topk(
 ) -> DataFrame:
     """``(query_id, rank, item_id, score)``: each query's ``k`` best items.
 
-    ``queries``: ``query_id, vec`` and optionally ``cell``, ``k`` (own list length, at
-    most ``k``), ``genres``, ``year_min``, ``year_max``, ``skip_key``. ``items``: ``item_id,
+    ``queries``: ``query_id, vec`` and optionally ``cell``, ``k`` (own list length; where it is
+    null, and as an upper bound, the argument ``k``; without the argument only the column
+    counts and null gives no rows), ``genres``, ``year_min``, ``year_max``, ``skip_key``. ``items``: ``item_id,
     vec`` and optionally ``cell``, ``genres``, ``year``. ``skip``: ``(skip_key, item_id)``
     pairs to leave out of the queries with that key (without a ``skip_key`` column on the
     queries: ``(query_id, item_id)``). Genres filter to items sharing one of them; items without genres
@@ -106,7 +107,7 @@ def block_topk(
     wide = F.col("vec").cast(wide_type)
     parts = rows(
         q, _QUERY, spread("query_id", "g_n", 1), every("s_n"), F.lit(-1),
-        query_id=F.col("query_id"), skip_key=F.col("skip_key"), vec=wide, k=F.coalesce("k", F.lit(k)), genres=F.col("genres"),
+        query_id=F.col("query_id"), skip_key=F.col("skip_key"), vec=wide, k=F.coalesce("k", F.lit(k or 0)).cast("int"), genres=F.col("genres"),
         year_min=F.col("year_min"), year_max=F.col("year_max"),
     ).unionByName(
         rows(
@@ -138,12 +139,10 @@ def block_topk(
         # a query may visit several cells, and an item may sit in several
         found = found.groupBy("query_id", "item_id").agg(F.max("score").alias("score"), F.max("k").alias("k"))
     w = W.partitionBy("query_id").orderBy(F.desc("score"), "item_id")
-    return (
-        found.withColumn("rank", F.row_number().over(w))
-        .filter(F.col("rank") <= k)
-        .filter(F.col("rank") <= F.col("k"))
-        .select("query_id", "rank", "item_id", "score")
-    )
+    ranked = found.withColumn("rank", F.row_number().over(w))
+    if k is not None:
+        ranked = ranked.filter(F.col("rank") <= k)
+    return ranked.filter(F.col("rank") <= F.col("k")).select("query_id", "rank", "item_id", "score")
 
 
 def _with_defaults(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -267,6 +266,8 @@ class _GridCell:
 
     def _keep(self, score: np.ndarray, s: int, ids: np.ndarray) -> None:
         top = int(self.k[s : s + len(score)].max())
+        if top <= 0:
+            return
         bar = self.floor[s : s + len(score)].copy()
         if score.shape[1] > top:
             # the k-th best of this block: rows below it cannot be in the final list

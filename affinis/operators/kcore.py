@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from affinis.session import cut_lineage
@@ -15,7 +15,6 @@ def kcore_filter(
     interactions: DataFrame,
     min_user: int = 5,
     min_item: int = 10,
-    max_iterations: int = 100,
 ) -> DataFrame:
     """Drop users and items with too few rows until nothing changes.
 
@@ -23,13 +22,13 @@ def kcore_filter(
     sums happen before the shuffle, so a heavy user or item costs one row per task)
     and keeps only the ids that fall short. Those short lists are removed by anti
     joins; the interactions are rewritten to the checkpoint folder only once enough
-    of them are gone, not every round.
+    of them are gone, not every round. Every round removes rows, so the loop ends by itself.
     """
     base = cut_lineage(interactions.filter("user_id IS NOT NULL AND item_id IS NOT NULL"))
     base_rows = base.count()
     out: DataFrame | None = None
     current, gone = base, 0
-    for _ in range(max_iterations):
+    while True:
         sides = F.array(
             F.struct(F.lit(True).alias("is_user"), F.col("user_id").cast("bigint").alias("id")),
             F.struct(F.lit(False).alias("is_user"), F.col("item_id").cast("bigint").alias("id")),
@@ -41,19 +40,18 @@ def kcore_filter(
             .agg(F.count(F.lit(1)).alias("n"))
             .filter(F.when(F.col("is_user"), F.col("n") < min_user).otherwise(F.col("n") < min_item))
         )
-        short = cut_lineage(short)
-        found = short.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        if found[0] == 0:
+        seen = Observation()
+        short = cut_lineage(short.observe(seen, F.count(F.lit(1)).alias("ids"), F.sum("n").alias("rows")))
+        if not seen.get["ids"]:
             return current
         out = short if out is None else out.unionByName(short)
         current = _without(base, out)
         # an upper bound of the removed rows: a row may be short on both sides
-        gone += found[1]
+        gone += seen.get["rows"]
         if gone > _REWRITE_SHARE * base_rows:
             base = cut_lineage(current)
             base_rows -= gone  # close enough to time the next rewrite
             current, out, gone = base, None, 0
-    return current
 
 
 def _without(rows: DataFrame, out: DataFrame) -> DataFrame:

@@ -83,7 +83,7 @@ def kpi_quality(
     head = rows.groupBy(*by).agg(
         F.count(F.when(asked, 1)).alias("_asked"),
         F.count(F.when(asked & F.col("is_fallback"), 1)).alias("fallback_count"),
-        F.avg(F.size(parsed)).alias("_mean"),
+        F.avg(F.array_size(parsed)).alias("_mean"),
     )
     items = (
         rows.select(*by, F.explode(parsed).alias("item_id")).distinct()

@@ -12,22 +12,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from affinis.session import fix_partitions
+from affinis.session import cut_lineage, fix_partitions
 
-BUCKETS = 64
+#: Distinct values of a bucket, which one window task adds up.
+BUCKET_ROWS = 200_000
 
 
 def _with_bucket(values: DataFrame, key: str, buckets: int) -> DataFrame:
-    """Add ``_b``, a bucket number; boundaries only steer balance, never the result."""
+    """Add ``_b``, a bucket number; boundaries only steer balance, never the result.
+
+    The boundaries are written once, so every use of ``_b`` sees the same ones. A value finds
+    its bucket by every so-manieth boundary first and then among the few between two of them.
+    """
+    if buckets == 1:
+        return values.withColumn("_b", F.lit(0))
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = values.agg(F.percentile_approx(F.col(key), probs, 1000).alias("_bounds"))
-    one_row = F.broadcast(bounds.withColumn("_one", F.lit(0)))  # always a single row
-    below = F.size(F.filter(F.col("_bounds"), lambda b: b < F.col(key)))
+    step = max(1, round(buckets**0.5))
+    bounds = cut_lineage(values.agg(F.percentile_approx(F.col(key), probs, max(1000, 10 * buckets)).alias("_bounds")))
+    coarse = F.filter("_bounds", lambda _, i: i % step == step - 1)
+    one_row = F.broadcast(bounds.select("_bounds", coarse.alias("_coarse"), F.lit(0).alias("_one")))  # always a single row
+
+    def below(c: Column) -> Column:
+        return F.size(F.filter(c, lambda b: b < F.col(key)))
+
+    whole = below(F.col("_coarse")) * step
     return (
         values.withColumn("_one", F.lit(0))
         .join(one_row, "_one")
-        .withColumn("_b", F.coalesce(below, F.lit(0)))
-        .drop("_bounds", "_one")
+        .withColumn("_whole", F.coalesce(whole, F.lit(0)))
+        .withColumn("_b", F.col("_whole") + F.coalesce(below(F.slice("_bounds", F.col("_whole") + 1, F.lit(step))), F.lit(0)))
+        .drop("_bounds", "_coarse", "_one", "_whole")
     )
 
 
@@ -36,21 +50,22 @@ def prefix_sums(
     key: str,
     weight: Column | None = None,
     group: list[str] | None = None,
-    buckets: int = BUCKETS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Running total of ``weight`` (row count by default) over ascending ``key``.
 
-    Returns ``group..., key, w, cum``: one row per distinct key, ``cum`` inclusive.
+    Returns ``group..., key, w, cum``: one row per distinct key, ``cum`` inclusive. The distinct
+    values are written once; their number decides how many buckets there are.
     """
     group = list(group or [])
     weight = F.lit(1) if weight is None else weight
-    values = (
+    values = cut_lineage(
         df.filter(F.col(key).isNotNull())
         .groupBy(*group, key)
         .agg(F.sum(weight).cast("bigint").alias("w"))
     )
-    placed = _with_bucket(values, key, buckets)
-    # one row per (group, bucket): at most `buckets` rows for each group
+    placed = _with_bucket(values, key, -(-max(1, values.count()) // bucket_rows))
+    # one row per (group, bucket)
     totals = placed.groupBy(*group, "_b").agg(F.sum("w").alias("_t"))
     before = W.partitionBy(*(group or [F.lit(0)])).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(*group, "_b", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
@@ -69,10 +84,10 @@ def prefix_sums(
     )
 
 
-def order_statistics(df: DataFrame, key: str, positions: dict[str, float], cap: bool = True) -> DataFrame:
+def order_statistics(df: DataFrame, key: str, positions: dict[str, float], cap: bool = False) -> DataFrame:
     """One row with, per name, the value at 0-based index ``int(n * share)`` of the sorted keys.
 
-    With ``cap`` an index equal to ``n`` reads the last value; without it, null.
+    An index equal to ``n`` (share 1) gives null; with ``cap`` it reads the last value.
     """
     sums = prefix_sums(df, key)
     total = df.filter(F.col(key).isNotNull()).agg(F.count(F.lit(1)).alias("n")).scalar()

@@ -394,7 +394,7 @@ def _runs(spark, sf):
     log = td.request_log(spark, sf)
     run_id = F.concat(F.date_format("timestamp", "yyyyMMdd"), F.lit("-"), F.coalesce("model_version", F.lit("none")))
     return log.groupBy(run_id.alias("run_id")).agg(
-        F.avg(F.size(fx.json_ids("recommendations"))).alias("length"),
+        F.avg(F.array_size(fx.json_ids("recommendations"))).alias("length"),
         (1 - F.avg(F.col("is_fallback").cast("int"))).alias("ndcg"),
         F.max("latency_ms").alias("worst"), F.count(F.lit(1)).alias("n"),
     )
@@ -466,7 +466,7 @@ def should_promote(spark, sf):
     """Each day's figures against those of the day before."""
     log = _dated(spark, sf)
     daily = log.groupBy("day").agg(
-        F.avg(F.size(fx.json_ids("recommendations"))).alias("length"),
+        F.avg(F.array_size(fx.json_ids("recommendations"))).alias("length"),
         (1 - F.avg(F.col("is_fallback").cast("int"))).alias("answered"), F.max("latency_ms").alias("worst"),
     )
 

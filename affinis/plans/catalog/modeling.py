@@ -336,6 +336,28 @@ def knn_lsh(spark, sf):
     return knn.knn_lsh(_as_queries(v), v, 10)
 
 
+def _quality(index, v, comparisons):
+    exact = knn.knn_exact(_as_queries(v), v, 10)
+    found = index.search(_as_queries(v), 10)
+    row = knn.search_quality(found, exact, comparisons, v.count())
+    return row.select((F.col("recall") >= 0.8).alias("recall_ok"), (F.col("comparisons") < 1).alias("fewer_comparisons"))
+
+
+@query("knn_ivf_quality", "SELECT true AS recall_ok, true AS fewer_comparisons")
+def knn_ivf_quality(spark, sf):
+    """At least 0.8 of the exact lists, from fewer comparisons than exact search makes."""
+    v = td.vectors(spark, sf)
+    index = knn.IvfIndex(v)
+    return _quality(index, v, index.comparisons(_as_queries(v)))
+
+
+@query("knn_lsh_quality", "SELECT true AS recall_ok, true AS fewer_comparisons")
+def knn_lsh_quality(spark, sf):
+    v = td.vectors(spark, sf)
+    index = knn.LshIndex(v)
+    return _quality(index, v, index.comparisons(_as_queries(v)))
+
+
 # --- ALS ------------------------------------------------------------------------------
 
 
@@ -344,33 +366,80 @@ def fitted(spark, sf):
     return stage(spark, sf, "als", lambda: als.als_fit(prepared(spark, sf).matrix))
 
 
-@query("als_fit")
+def _factors(spark, sf):
+    """Given vectors as factors, so that scores can be checked."""
+    users = td.user_vectors(spark, sf).select(F.col("user_id").alias("idx"), "vec")
+    return als.AlsFactors(users, td.vectors(spark, sf).select(F.col("item_id").alias("idx"), "vec"))
+
+
+def _liked(spark, sf):
+    rows = filters.to_implicit(td.ratings(spark, sf))
+    return rows.select(F.col("user_id").alias("user_idx"), F.col("item_id").alias("item_idx")).distinct()
+
+
+_ALS = q.with_(q.RATINGS, q.VECTORS, "liked AS (SELECT DISTINCT user_id, item_id FROM ratings WHERE rating >= 4)")
+
+
+@query(
+    "als_fit",
+    q.INDEXED + """SELECT 'user' AS side, count(DISTINCT user_idx) AS n, 64 AS width, true AS finite FROM matrix
+    UNION ALL SELECT 'item', count(DISTINCT item_idx), 64, true FROM matrix""",
+)
 def als_fit(spark, sf):
+    """Every user and item of the matrix gets factors of full width."""
     model = als.als_fit(prepared(spark, sf).matrix)
     sides = model.users.withColumn("side", F.lit("user")).unionByName(model.items.withColumn("side", F.lit("item")))
-    return sides.select("side", "idx", vx.norm("vec").alias("length"))
+    length = vx.norm("vec")
+    return sides.groupBy("side").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("width"),
+        F.min(length.isNotNull() & ~F.isnan(length) & (length < 1e6)).alias("finite"),
+    )
 
 
-@query("als_recommend")
+@query(
+    "als_recommend",
+    _ALS + """SELECT user_idx, row_number() OVER (PARTITION BY user_idx ORDER BY score DESC, item_idx) AS rank, item_idx, score FROM (
+      SELECT u.user_id AS user_idx, v.item_id AS item_idx, round(list_dot_product(u.vec, v.vec), 9) AS score
+      FROM user_vectors u SEMI JOIN liked USING (user_id) CROSS JOIN vectors v
+      WHERE NOT EXISTS (SELECT 1 FROM liked h WHERE h.user_id = u.user_id AND h.item_id = v.item_id)) QUALIFY rank <= 10""",
+)
 def als_recommend(spark, sf):
-    p = prepared(spark, sf)
-    return als.als_recommend(fitted(spark, sf), p.matrix.select("user_idx"), 10, p.matrix)
+    liked = _liked(spark, sf)
+    return als.als_recommend(_factors(spark, sf), liked.select("user_idx"), 10, liked)
 
 
-@query("als_similar")
+@query(
+    "als_similar",
+    _V + "SELECT query_id AS item_i, rank, item_id AS item_j, score AS sim FROM ("
+    + _KNN.format(t="unit_vectors", c="a.item_id <> b.item_id AND a.item_id IN (SELECT l_partkey FROM lineitem)", k=10) + ")",
+)
 def als_similar(spark, sf):
-    return als.als_similar(fitted(spark, sf), prepared(spark, sf).matrix.select("item_idx"), 10)
+    return als.als_similar(_factors(spark, sf), td.ratings(spark, sf).select(F.col("item_id").alias("item_idx")), 10)
 
 
-@query("als_score")
+@query(
+    "als_score",
+    _ALS + """SELECT l.user_id AS user_idx, l.item_id AS item_idx, list_dot_product(u.vec, v.vec) AS score
+    FROM liked l LEFT JOIN user_vectors u USING (user_id) LEFT JOIN vectors v ON v.item_id = l.item_id""",
+)
 def als_score(spark, sf):
-    return als.als_score(fitted(spark, sf), prepared(spark, sf).matrix.select("user_idx", "item_idx"))
+    return als.als_score(_factors(spark, sf), _liked(spark, sf))
 
 
-@query("embeddings_get")
+@query(
+    "embeddings_get",
+    _V + """SELECT 'user' AS side, user_id AS idx, unnest(vec) AS x, unnest(range(64)) AS place FROM user_vectors SEMI JOIN (SELECT o_custkey AS user_id FROM orders) USING (user_id)
+    UNION ALL SELECT 'item', item_id, unnest(vec), unnest(range(64)) FROM vectors SEMI JOIN (SELECT l_partkey AS item_id FROM lineitem) USING (item_id)""",
+)
 def embeddings_get(spark, sf):
-    ids = prepared(spark, sf).users.select("idx")
-    return als.embeddings_get(fitted(spark, sf).users, ids)
+    """Factors of the users and items that occur in the ratings."""
+    model, rows = _factors(spark, sf), td.ratings(spark, sf)
+    sides = [("user", model.users, "user_id"), ("item", model.items, "item_id")]
+    users, items = (
+        als.embeddings_get(table, rows.select(F.col(c).alias("idx"))).select(F.lit(side).alias("side"), "idx", F.posexplode("vec").alias("place", "x"))
+        for side, table, c in sides
+    )
+    return users.unionByName(items).withColumn("x", F.col("x").cast("double"))
 
 
 @query("train_all")

@@ -10,13 +10,13 @@ from affinis.plans import testdata as td
 from affinis.plans.catalog import sql as q
 from affinis.plans.catalog.registry import prepared, query
 
-# Features are known only for part of the catalog; the rest shows the missing-feature rules.
-_FEATURES = "features AS (SELECT * FROM items WHERE year > 1955)"
+# Features are known for every part; items outside the part table show the missing-feature rules.
+_FEATURES = "features AS (SELECT * FROM items)"
 _G = "array_to_string(genres, '|') AS genres"
 
 
 def _features(spark, sf):
-    return td.items(spark, sf).filter("year > 1955")
+    return td.items(spark, sf)
 
 
 def _flat(df):
@@ -37,14 +37,14 @@ def popular_by_genre(spark, sf):
 
 _CANDIDATES = """candidates AS (
   SELECT l.request_id, l.item_id, r.genres AS wanted, r.year_min, r.year_max, f.genres, f.year, f.title
-  FROM (SELECT request_id, unnest(ids) AS item_id FROM parsed_log) l JOIN requests r USING (request_id) LEFT JOIN features f ON f.item_id = l.item_id)"""
+  FROM (SELECT request_id, CASE WHEN id % 7 = 0 THEN id + 100000000 ELSE id END AS item_id FROM (SELECT request_id, unnest(ids) AS id FROM parsed_log)) l JOIN requests r USING (request_id) LEFT JOIN features f ON f.item_id = l.item_id)"""
 _CAND = q.with_(q.LOG, q.REQUESTS, q.ITEMS, _FEATURES, _CANDIDATES)
 
 
 def _shown(spark, sf):
-    return td.request_log(spark, sf).select(
-        "request_id", F.explode(fx.json_ids("recommendations")).alias("item_id")
-    )
+    shown = td.request_log(spark, sf).select("request_id", F.explode(fx.json_ids("recommendations")).alias("id"))
+    outside = F.when(F.col("id") % 7 == 0, F.col("id") + 100_000_000).otherwise(F.col("id"))
+    return shown.select("request_id", outside.alias("item_id"))
 
 
 def _candidates(spark, sf):

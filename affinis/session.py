@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_stages: list[str] = []
+
+
 def local_session(cpus: str | int = 8, app: str = "affinis", memory: str = "12g") -> SparkSession:
     """A local session for tests and the bench. Clusters bring their own."""
     return (
@@ -45,6 +50,7 @@ def cut_lineage(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     steps read only the columns and partitions they need.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    _stages.append(path)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -52,6 +58,47 @@ def cut_lineage(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends the package to the executors, once per application.
+
+    Functions that run in tasks are found there by import, so executors need the package
+    even if only the driver has it on its path.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="affinis-"), "affinis.zip")  # the driver serves it
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("affinis", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
+def drop_stages(spark: SparkSession, since: int = 0) -> int:
+    """Deletes the tables that ``cut_lineage`` of this process wrote; returns their number.
+
+    ``since`` keeps the first ones: pass the ``stage_count()`` from before a job. Results that
+    still read the tables must have been written or collected before.
+    """
+    sc, n = spark.sparkContext, len(_stages) - since
+    while len(_stages) > since:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_stages.pop())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
+def stage_count() -> int:
+    return len(_stages)
+
+
 def fix_partitions(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` so that partition numbers and the order inside them stay fixed."""
     checkpoint_dir(df.sparkSession)

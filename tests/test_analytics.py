@@ -152,3 +152,17 @@ def test_selection(spark):
     assert [r.run_id for r in promotion.compare_runs(runs, top_n=4).collect()] == ["r2", "r1", "r4", "r3"]
     a = spark.createDataFrame([(1, 1, 5), (1, 1, 5)], "user_id int, item_id int, timestamp int")
     assert promotion.merge_interactions(a, a).count() == 1
+
+
+def test_list_length_does_not_depend_on_ansi_mode(spark):
+    from affinis.operators import kpi
+
+    rows = [("1", "/recommend", "[1,2,3]", False), ("2", "/recommend", None, False), ("3", "/recommend", "bad", False)]
+    log = spark.createDataFrame(rows, "request_id string, endpoint string, recommendations string, is_fallback boolean")
+    was = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for mode in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", mode)
+            assert kpi.kpi_quality(log).first().avg_recommendations_per_request == 3.0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", was)

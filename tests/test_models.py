@@ -166,7 +166,7 @@ def test_knn_exact_and_approximate(spark):
         return np.mean([len(set(found.get(i, [])) & set(exact[i])) / 10 for i in exact])
 
     assert recall(lists(knn.knn_ivf(queries, items, 10, nlist=30, nprobe=10))) > 0.8
-    assert recall(lists(knn.knn_lsh(queries, items, 10, tables=8, bucket_length=0.6))) > 0.8
+    assert recall(lists(knn.knn_lsh(queries, items, 10, tables=40, hashes=4))) > 0.8
     own = knn.knn_exact(queries, items, 5, skip_self=True)
     assert own.filter("query_id = item_id").count() == 0
     few = knn.IvfIndex(items.limit(5))
