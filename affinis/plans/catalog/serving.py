@@ -178,11 +178,15 @@ def similar_filtered(spark, sf):
 
 @query(
     "similar_to_seed",
-    q.with_(q.REQUESTS, q.VECTORS) + "SELECT request_id, coalesce(seed_item IN (SELECT item_id FROM vectors), false) AS success FROM requests",
+    q.with_(q.ITEMS, _FEATURES, q.REQUESTS, q.VECTORS, _NEAR.format(seed="seed_item"))
+    + """SELECT r.request_id, coalesce(r.seed_item IN (SELECT item_id FROM vectors), false) AS success, n.rank, n.item_id, n.score,
+      CASE WHEN n.item_id IS NOT NULL THEN coalesce(f.title, 'Movie ' || n.item_id) END AS title,
+      coalesce(array_to_string(f.genres, '|'), '') AS genres, f.year
+    FROM requests r LEFT JOIN near n ON n.seed = r.seed_item AND n.rank <= r.k LEFT JOIN features f ON f.item_id = n.item_id""",
 )
 def similar_to_seed(spark, sf):
-    _, flags = serve.similar_to_seed(td.requests(spark, sf), td.vectors(spark, sf), _features(spark, sf))
-    return flags
+    lists, flags = serve.similar_to_seed(td.requests(spark, sf), td.vectors(spark, sf), _features(spark, sf))
+    return _flat(flags.join(lists, "request_id", "left"))
 
 
 _FALLBACK = f"""{_NEAR.format(seed="seed_item")},
