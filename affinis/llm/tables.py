@@ -32,8 +32,8 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-#: Words of 64 bits of the filter of ``may_hold``, whatever the number of ids.
-FILTER_WORDS = 1 << 14
+#: Bytes of the filter of ``may_hold``, whatever the number of ids.
+FILTER_BYTES = 1 << 17
 
 
 def may_hold(ids: DataFrame, column: str) -> Column:
@@ -42,14 +42,15 @@ def may_hold(ids: DataFrame, column: str) -> Column:
     A filter of fixed size that keeps most rows without a partner out of a shuffle. With very
     many ids it lets all rows pass, which changes no result.
     """
-    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS * 64))
+    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_BYTES * 8))
     packed = (
         ids.select(bit.alias("at"))
-        .groupBy(F.shiftright("at", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
+        .groupBy(F.shiftright("at", 3).alias("byte"))
+        .agg(F.bit_or(F.expr("shiftleft(1, cast(at & 7 as int))")).alias("bits"))
     )
-    words = [0] * FILTER_WORDS
-    for r in packed.collect():  # FILTER_WORDS rows at most
-        words[r.word] = r.bits
-    word = F.get(F.lit(words).cast("array<bigint>"), F.shiftright(bit, 6).cast("int"))
-    return F.coalesce(word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))) != 0, F.lit(False))
+    held = bytearray(FILTER_BYTES)
+    for r in packed.collect():  # FILTER_BYTES rows at most
+        held[r.byte] = r.bits
+    byte = F.substring(F.lit(bytes(held)), F.shiftright(bit, 3).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.coalesce(F.call_function("shiftright", value, bit.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
