@@ -62,9 +62,12 @@ def item_item_fit(
     )
     # one number per block a user touches; never longer than the number of blocks
     touched = entries.groupBy("u").agg(F.collect_list(F.struct("block", "chunks")).alias("touched"))
-    pairs = entries.join(touched, "u").select(
-        "u", "block", "chunks", "cell", F.explode("touched").alias("t")
+    # pairs of blocks as numbers first; the cells then come by user and block, so that the
+    # blocks of a user with a long history are spread over tasks
+    both = touched.select("u", F.explode("touched.block").alias("block"), "touched").select(
+        "u", "block", F.explode("touched").alias("t")
     )
+    pairs = both.join(entries, ["u", "block"]).select("u", "block", "chunks", "cell", "t")
     chunk_count = F.greatest(F.col("chunks"), F.col("t.chunks"))
     pairs = pairs.select(
         F.least("block", "t.block").alias("a"),
@@ -322,6 +325,8 @@ def item_item_recommend(
     score. With ``fill_zero`` users short of ``n`` items are padded with zero-score items
     of ``catalog`` (dense indices 0..m-1) in index order.
     """
+    if allowed is not None:
+        edges = edges.join(allowed.select(F.col(item).alias("item_j")), "item_j", "left_semi")
     scores = liked_scores(edges, history, user, item)
     liked = history.select(user, item)
     skip = liked if exclude_liked else None
@@ -330,8 +335,6 @@ def item_item_recommend(
         skip = extra if skip is None else skip.unionByName(extra)
     if skip is not None:
         scores = scores.join(skip, [user, item], "left_anti")
-    if allowed is not None:
-        scores = scores.join(allowed.select(item), item, "left_semi")
     top = rank_scores(scores, n, user, item).select(user, "rank", item, "score")
     if not fill_zero:
         return top
