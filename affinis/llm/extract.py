@@ -40,7 +40,6 @@ def features(page: list[Block], paths: dict) -> np.ndarray:
                 paths[b.path] = row
         out[i, :PATH] = row
         words = b.text.lower().split()
-        # very long blocks have enough words to tell long before their end, but all count
         marks = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) & (WORDS - 1) for w in words), np.int64, len(words))
         out[i, PATH : PATH + WORDS] = np.bincount(marks, minlength=WORDS) / len(words)
         n = len(b.text)

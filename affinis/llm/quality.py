@@ -17,8 +17,6 @@ THRESHOLDS = 32
 #: Parameters of learning: conditions of a rule, rules of a list, least precision, least rows.
 MAX_CONDITIONS, MAX_RULES, PRECISION, MIN_ROWS = 4, 16, 0.9, 5
 
-STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct_words", "n_upper"]
-
 
 def features() -> dict[str, Column]:
     """Features of the rules, from the statistics of a text with words."""
