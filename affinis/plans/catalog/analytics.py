@@ -61,7 +61,7 @@ def json_ids(spark, sf):
 
 
 _SHAPED = """SELECT {id} AS request_id, ts AS timestamp, {user} AS user_id, {item} AS item_id, {endpoint} AS endpoint,
-  {version} AS model_version, '[' || k || ',' || (k + 1) || ']' AS recommendations, value AS latency_ms,
+  {version} AS model_version, '[' || k || ',' || (k + 1) || ']' AS recommendations, '[1.0,0.5]' AS scores, value AS latency_ms,
   {fallback} AS is_fallback, {reason} AS fallback_reason FROM base_log WHERE event_type {kind}"""
 _ID = "CAST(event_id AS VARCHAR)"
 _LOGGED = {
@@ -108,17 +108,17 @@ def _logged(spark, sf):
 
 @query("log_recommend", _LOG + _LOGGED["log_recommend"])
 def log_recommend(spark, sf):
-    return _logged(spark, sf)["log_recommend"].drop("scores")
+    return _logged(spark, sf)["log_recommend"]
 
 
 @query("log_similar", _LOG + _LOGGED["log_similar"])
 def log_similar(spark, sf):
-    return _logged(spark, sf)["log_similar"].drop("scores")
+    return _logged(spark, sf)["log_similar"]
 
 
 @query("log_popular", _LOG + _LOGGED["log_popular"])
 def log_popular(spark, sf):
-    return _logged(spark, sf)["log_popular"].drop("scores")
+    return _logged(spark, sf)["log_popular"]
 
 
 @query(
@@ -150,6 +150,16 @@ def request_id(spark, sf):
     return td.request_log(spark, sf).select("timestamp", fx.request_id().alias("request_id"))
 
 
+@query("request_id_format", "SELECT count(*) AS n, count(*) AS n_distinct, true AS well_formed FROM events")
+def request_id_format(spark, sf):
+    """New ids differ from row to row and have the usual form."""
+    ids = td.request_log(spark, sf).select(fx.request_id().alias("id"))
+    form = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    return ids.agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("n_distinct"), F.min(F.col("id").rlike(form)).alias("well_formed")
+    )
+
+
 # --- KPI ------------------------------------------------------------------------------
 
 
