@@ -188,3 +188,133 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from affinis.llm.extract import extract
 
     return extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+INTERACTIONS_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), f AS (
+  SELECT t, min(coalesce(doc_id, 9223372036854775807)) AS first FROM d GROUP BY t
+), g AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(w) < 50)::INT
+         + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+         + 4 * (100 * len(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * len(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * (first < coalesce(doc_id, 9223372036854775807))::INT AS mask
+  FROM d JOIN f USING (t) LEFT JOIN g USING (doc_id)
+), c AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL
+), walk AS (
+  SELECT '' AS prefix, 0 AS applied, 0 AS bit
+  UNION ALL
+  SELECT prefix || chr(65 + i), applied | bit, 1 << i
+  FROM walk, (SELECT unnest([0, 1, 2, 3, 4]) AS i) WHERE (applied | bit) & (1 << i) = 0
+), s AS (
+  SELECT part, prefix,
+         coalesce(sum(n) FILTER (mask & (applied | bit) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & applied = 0), 0) AS removed,
+         coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & applied <> 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & applied = 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & applied = 0), 0) AS toxic_lost
+  FROM walk, c WHERE prefix <> '' GROUP BY ALL
+), o AS (
+  SELECT prefix AS filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM walk WHERE len(prefix) = 5
+), p AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS letter,
+         kept, removed, redundant, unique_fails, good_lost, toxic_lost
+  FROM o JOIN s ON s.prefix = substr(filter_order, 1, step)
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM p
+"""
+
+
+@query("op11_filter_interactions", INTERACTIONS_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every step of every order of five filters does to each source."""
+    from affinis.llm.interactions import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+LINES_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT r, coalesce(doc_id, 9223372036854775807) AS doc, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d
+), k AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l
+), f AS (
+  SELECT key, min(doc) AS first FROM k WHERE len(key) >= 10 GROUP BY key HAVING count(DISTINCT doc) >= 2
+), g AS (
+  SELECT r, count(*) AS n, count(*) FILTER (doc > first) AS gone,
+         string_agg(line, chr(10) ORDER BY pos) FILTER (first IS NULL OR doc <= first) AS kept
+  FROM k LEFT JOIN f USING (key) GROUP BY r
+)
+SELECT doc_id, n AS n_lines, gone AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
+FROM g JOIN d USING (r)
+"""
+
+
+@query("op12_line_dedup", LINES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the lines that an earlier one has."""
+    from affinis.llm.lines import dedup_lines
+
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+RANKING_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), q AS (
+  SELECT DISTINCT item_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), t AS (
+  SELECT r, doc_id, term, count(*) AS tf FROM d GROUP BY ALL
+), s AS (
+  SELECT r, sum(tf)::BIGINT AS size FROM t GROUP BY r
+), a AS (
+  SELECT count(*) AS docs, sum(size)::BIGINT AS total FROM s
+), w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM t, a GROUP BY term
+), m AS (
+  SELECT r, 10 + (90 * size * docs) // total AS m FROM s, a
+), x AS (
+  SELECT item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL
+), y AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+  FROM x WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM y WHERE rank <= 10
+"""
+
+
+@query("op13_lexical_ranking", RANKING_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    from affinis.llm.ranking import rank
+
+    found = rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
