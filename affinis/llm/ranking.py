@@ -169,7 +169,7 @@ class Search:
                 nodes = np.sort(nodes[rest[bound[rest] >= self.score[members[0], -1]]])
                 if not len(nodes):
                     return
-            if depth < level or depth == 0:
+            if level and depth <= level + 1:  # nodes of documents stay the larger ones until the items are single
                 break
             nodes, depth = docs.children(depth, nodes), depth - 1
         for child in self.items.children(level, np.array([node])):
