@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -12,12 +13,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from affinis.llm.text_batch import SLICE
+from affinis.session import cut_lineage
+
 #: N-grams in a profile, of a language and of a document.
 PROFILE = 300
-#: Languages a model may have; more are refused, as profiles travel to every task.
-MAX_LANGUAGES = 10_000
+#: Languages whose profiles travel to the tasks at once; more make more passes.
+BLOCK_LANGUAGES = 4096
+#: Characters whose n-grams are counted at once; a run ends at the next non-letter.
+RUN_CHARS = 1 << 20
+#: Counts that a task merges at once.
+MERGE = 1 << 20
 UNKNOWN = "und"
 _BLANK = 0x20
+_NO_LETTER = re.compile(r"[\W\d_]")
 
 
 @cache
@@ -39,11 +48,43 @@ def _points(text: str) -> np.ndarray:
     return np.concatenate([[_BLANK] * bool(head), out, [_BLANK] * bool(tail)]).astype(np.uint32)
 
 
+def runs(text: str) -> Iterator[str]:
+    """The text in runs of about ``RUN_CHARS``, cut between words."""
+    at = 0
+    while at < len(text):
+        cut = _NO_LETTER.search(text, at + RUN_CHARS) if len(text) - at > RUN_CHARS else None
+        to = cut.start() if cut else len(text)
+        yield text[at:to]
+        at = to
+
+
+def merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the counts of equal codes, in ascending order of code."""
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    codes, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(codes, kind="stable")
+    codes, counts = codes[order], counts[order]
+    start = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
+    return codes[start], np.add.reduceat(counts, start) if len(codes) else counts
+
+
 def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(codes, counts) of the n-grams of 1 to 3 characters inside blank-padded words.
 
     A code packs the code points, 21 bits each. In ascending order of code.
     """
+    if len(text) <= RUN_CHARS:
+        return _run_counts(text)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for run in runs(text):
+        held.append(_run_counts(run))
+        if sum(len(codes) for codes, _ in held) > MERGE:
+            held = [merge(held)]
+    return merge(held)
+
+
+def _run_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     points = _points(text)
     if not len(points):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -98,19 +139,44 @@ def profiles(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
     All rows with a text and a language count, whole texts. Texts are lower-cased; n-grams have
     1 to 3 letters of a word, with a blank before and after it; ties go to the smaller code.
-    Tasks send one count for each n-gram and language of a batch.
+    Tasks count runs of texts of bounded size, merge the counts of a language, and send them when
+    they have ``MERGE`` n-grams or no more texts.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list[str]] = {}  # texts, below RUN_CHARS for each language
+        size: dict[str, int] = {}
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def add(lang: str) -> None:
+            found = ngram_counts("\n".join(waiting.pop(lang)))
+            size[lang] = 0
+            sums[lang] = merge([sums[lang], found]) if lang in sums else merge([found])
+
+        def send(lang: str) -> pa.RecordBatch:
+            codes, counts = sums.pop(lang)
+            return pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], ["lang", "gram", "n"])
+
         for b in batches:
-            texts, langs = pc.utf8_lower(b.column(1)), b.column(0)
-            for lang in langs.unique():
-                own = texts.filter(pc.equal(langs, lang)).to_pylist()
-                codes, counts = ngram_counts("\n".join(own))
-                if len(codes):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang.as_py()] * len(codes)), pa.array(codes), pa.array(counts)], ["lang", "gram", "n"]
-                    )
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                for lang, text in zip(part.column(0).to_pylist(), pc.utf8_lower(part.column(1)), strict=True):
+                    waiting.setdefault(lang, []).append(text.as_py())
+                    size[lang] = size.get(lang, 0) + len(waiting[lang][-1]) + 1
+                    if size[lang] > RUN_CHARS:
+                        add(lang)
+                        if len(sums[lang][0]) > MERGE:
+                            yield send(lang)
+            if len(waiting) + len(sums) > BLOCK_LANGUAGES or sum(size.values()) > 8 * RUN_CHARS:
+                for lang in list(waiting):
+                    add(lang)
+                for lang in list(sums):
+                    yield send(lang)
+        for lang in list(waiting):
+            add(lang)
+        for lang in list(sums):
+            yield send(lang)
+        pa.default_memory_pool().release_unused()
 
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t"))
     counted = (
@@ -129,8 +195,6 @@ class RankOrder:
     def __init__(self, rows: list[tuple[str, int, int]], size: int = PROFILE):
         self.size = size
         self.langs = sorted({r[0] for r in rows}, key=lambda x: x.encode())
-        if len(self.langs) > MAX_LANGUAGES:
-            raise ValueError(f"{len(self.langs)} languages; at most {MAX_LANGUAGES} can be learned")
         self.grams = np.unique(np.array([r[1] for r in rows], np.int64))
         self.place = np.full((len(self.grams) + 1, len(self.langs)), -1, np.int32)  # last row: unknown
         column = {x: i for i, x in enumerate(self.langs)}
@@ -138,9 +202,16 @@ class RankOrder:
             self.place[np.searchsorted(self.grams, gram), column[lang]] = place
 
     @classmethod
-    def learn(cls, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE) -> RankOrder:
-        """Profiles are at most ``size`` rows a language."""
-        return cls([tuple(r) for r in profiles(labelled, text_col, lang_col, size).collect()], size)
+    def learn(cls, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE) -> RankOrder | ManyLanguages:
+        """Profiles are at most ``size`` rows a language; those of very many stay in a table."""
+        stored = cut_lineage(profiles(labelled, text_col, lang_col, size))
+        count = stored.select("lang").distinct().count()
+        if count > BLOCK_LANGUAGES:
+            return ManyLanguages(stored, size, -(-count // BLOCK_LANGUAGES))
+        return cls([tuple(r) for r in stored.collect()], size)
+
+    def blocks(self) -> Iterator[RankOrder]:
+        yield self
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score). The score is 1 for equal places, 0 if no n-gram is shared."""
@@ -157,22 +228,47 @@ class RankOrder:
         return self.langs[best], 1 - float(distance[best]) / (self.size * len(top))
 
 
-def identify(docs: DataFrame, model: RankOrder, keep: list[str], text_col: str = "text") -> DataFrame:
-    """Columns ``keep`` of every row with ``lang_pred`` and ``score`` (0 to 1) of its whole text.
+class ManyLanguages:
+    """Profiles of more languages than travel to the tasks at once, in blocks by hash."""
+
+    def __init__(self, stored: DataFrame, size: int, count: int):
+        self.stored, self.size, self.count = stored, size, count
+
+    def blocks(self) -> Iterator[RankOrder]:
+        for b in range(self.count):
+            own = self.stored.filter(F.pmod(F.xxhash64("lang"), F.lit(self.count)) == b)
+            yield RankOrder([tuple(r) for r in own.collect()], self.size)  # about BLOCK_LANGUAGES languages
 
-    A null text, a text without letters, or a model without languages gives ``und`` and 0.
-    Rows and other columns are not changed; ``keep`` must not hold the two new names.
-    """
 
+def identify(docs: DataFrame, model: RankOrder | ManyLanguages, keep: list[str], text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` of every row with ``names``, language and score (0 to 1) of its whole text.
+
+    A null text, a text without letters, or a model without languages gives ``und`` and 0; ties
+    go to the first language by code point. Rows and other columns are not changed; ``keep`` must
+    not hold the two ``names``, which a caller can choose. Every further block of a model with
+    very many languages is one more pass that keeps the better of two languages.
+    """
     own = text_col in keep and dict(docs.dtypes)[text_col] == "string"  # the text need not travel twice
-    rows = docs.select(*keep) if own else docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    at = keep.index(text_col) if own else len(keep)
+    text = [] if own else [F.col(text_col).cast("string")]
+    found = docs.select(*keep, *text, F.lit(UNKNOWN), F.lit(0.0))
+    at, n = keep.index(text_col) if own else len(keep), len(found.columns)
+    # inside, columns go by number, so that no name of the table is in the way
+    plain = [f"c{i}" for i in range(n)]
+    found = found.toDF(*plain)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [model.predict(t.as_py()) for t in pc.utf8_lower(b.column(at))]
-            columns = [*b.columns[: len(keep)], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
+    def better(block: RankOrder):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                lang, score = b.column(n - 2).to_pylist(), b.column(n - 1).to_pylist()
+                for i, text in enumerate(pc.utf8_lower(b.column(at))):
+                    x, s = block.predict(text.as_py())
+                    if s > score[i] or x != UNKNOWN and (lang[i] == UNKNOWN or s == score[i] and x.encode() < lang[i].encode()):
+                        lang[i], score[i] = x, s
+                columns = [*b.columns[: n - 2], pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, plain)
+
+        return run
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    for block in model.blocks():
+        found = found.mapInArrow(better(block), found.schema)
+    return found.select(*[F.col(f"c{i}").alias(x) for i, x in enumerate(keep)], F.col(f"c{n - 2}").alias(names[0]), F.col(f"c{n - 1}").alias(names[1]))

@@ -56,6 +56,24 @@ def test_profiles_and_predictions_equal_the_definition(spark):
         assert got[(i, t)][0] == lang and got[(i, t)][1] == pytest.approx(score)
 
 
+def test_runs_and_blocks_change_nothing(spark, monkeypatch):
+    from affinis.llm import langid
+
+    text = "The cat, the dog; été où 漢字 " * 40 + "x" * 300 + " end"
+    whole = ngram_counts(text)
+    rows = [(i, f"l{i % 7}", f"{'abcdefg'[i % 7]} word {i} " * 9) for i in range(60)] + [(99, "l1", text), (98, None, text), (97, "l0", None)]
+    df = spark.createDataFrame(rows, "score long, lang string, text string")
+    model = RankOrder.learn(df)
+    want = sorted(identify(df, model, ["score", "text"], names=("a", "b")).collect(), key=str)
+    monkeypatch.setattr(langid, "RUN_CHARS", 50)
+    monkeypatch.setattr(langid, "MERGE", 20)
+    monkeypatch.setattr(langid, "BLOCK_LANGUAGES", 2)
+    assert [x.tolist() for x in ngram_counts(text)] == [x.tolist() for x in whole]
+    many = RankOrder.learn(df)
+    assert len(list(many.blocks())) == 4
+    assert sorted(identify(df, many, ["score", "text"], names=("a", "b")).collect(), key=str) == want
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id long, lang string, text string")
     model = RankOrder.learn(df)
