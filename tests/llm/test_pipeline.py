@@ -112,6 +112,48 @@ def test_nulls_repeats_and_empty_tables(spark, sf_dir):
         assert stage(spark, empty, sf_dir).collect() == []
 
 
+def words_of(rng, n):
+    return " ".join(f"{'abcdefghij'[rng.randrange(10)]}{'aeiou'[rng.randrange(5)]}{rng.randrange(10**6)}" for _ in range(n))
+
+
+def test_clashing_names_and_ids_lose_nothing(spark, sf_dir):
+    import random
+
+    rng = random.Random(3)
+    one, two, three = words_of(rng, 80), words_of(rng, 90), words_of(rng, 70)
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    rows = [
+        (1, one, 1), (1, two, 2), (1, two, 3), (1, two, 3), (2, words_of(rng, 20) + " " + two, 4), (None, three, 5), (None, three, 6),
+        (None, words_of(rng, 60), 7), (9, "before " + item + " after", 8), (9, words_of(rng, 60), 9), (4, words_of(rng, 30000), 10), (5, None, 11),
+    ]
+    names = ["score", "lang_pred", "_id", "_n", "_spans", "id", "row", "t", "made", "given", "spans", "language", "fit", "doc", "component", "c0"]
+    docs = spark.createDataFrame([(i, "en", "s", 1, t, *[k] * len(names)) for i, t, k in rows], f"doc_id long, lang string, source string, n_chars long, text string, {', '.join(f'{n} int' for n in names)}")
+    tag = lambda df: sorted(r.score for r in df.collect())
+    kept = {name: stage(spark, docs, sf_dir) for name, stage in corpus_pipeline.STAGES[:4]}
+    assert all(df.dtypes == docs.dtypes for df in kept.values())
+    for df in kept.values():
+        assert all(r._id == r._n == r._spans == r.row == r.c0 == r.lang_pred == r.score for r in df.collect())
+    assert tag(kept["language_id"]) == [r[2] for r in rows if r[1] is not None for _ in [0]]
+    assert tag(kept["simhash_dedup"]) in ([1, 2, 4, 5, 7, 8, 9, 10, 11], [1, 3, 4, 5, 7, 8, 9, 10, 11])
+    cut = {r.score: r.text for r in kept["substring_dedup"].collect()}
+    assert cut[1] == one and cut[8] == rows[8][1] and cut[10] == rows[10][1] and cut[11] is None
+    assert (2 in cut and cut[2] == two and cut[4] != rows[4][1]) or (2 not in cut and cut[4] == rows[4][1])
+    assert cut.get(3) == cut.get(2) and cut[5] == cut[6] == three  # repeated rows are not cut against each other
+    assert tag(kept["decontaminate"]) == [1, 2, 3, 3, 4, 5, 6, 7, 9, 10, 11]
+
+
+@pytest.mark.parametrize("text", [
+    "Litwo Ojczyzno moja ty jesteś jak zdrowie ile cię trzeba cenić ten tylko się dowie kto cię stracił",
+    "Mieleni minun tekevi aivoni ajattelevi lähteäni laulamahan saa'ani sanelemahan sukuvirttä suoltamahan",
+    "Они были там вчера и видели его",
+])
+def test_other_languages_are_rejected(spark, sf_dir, text):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    other = docs.limit(1).selectExpr("-1L doc_id", f'"{text}" text', "CAST(NULL AS STRING) lang", "source", "n_chars").select(*docs.columns)
+    kept = {r.doc_id for r in stages.language_id(spark, docs.unionByName(other), sf_dir).collect()}
+    assert -1 not in kept and len(kept) >= docs.filter("text rlike '[a-zA-Z]'").count()
+
+
 def test_cutting():
     assert stages._without("a b\nc  d e", [(1, 3)]) == "a d e"
     assert stages._without("a b", [(0, 2)]) == ""
