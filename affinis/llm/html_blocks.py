@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 #: Elements whose content is not shown.
 HIDDEN = frozenset("script style noscript template head title svg math iframe object canvas audio video".split())
+#: Hidden elements that hold text only, so that one without an end goes on to the end of the page.
+RAW = frozenset("script style title iframe".split())
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that stand in a line of text; all others end a block.
@@ -20,7 +22,7 @@ SELF_ENDING = frozenset("p li dt dd tr td th option optgroup thead tbody tfoot".
 #: Inline elements that tell something about their text.
 TELLING = frozenset("label ins".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*\Z""", re.S)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)>|</?[a-zA-Z][^>]*\Z""", re.S)
 _ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -44,6 +46,7 @@ def blocks(page: str | None) -> list[Block]:
     """The visible blocks in page order, character references decoded, white space made single.
 
     Tags need not be closed or nested well; a tag that the end of the page cuts off is dropped.
+    Quotes hide a ``>`` only where they begin an attribute's value.
     """
     page = page or ""
     out: list[Block] = []
@@ -82,8 +85,9 @@ def blocks(page: str | None) -> list[Block]:
             if m[3].rstrip().endswith("/"):
                 continue
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)" if tag != "head" else r"</head\b[^>]*>|(?=<body\b)", re.I).search(page, at)
-            at = close.end() if close else end
-            continue
+            if close or tag in RAW:
+                at = close.end() if close else end
+            continue  # others without an end hide nothing but their tag
         if tag in INLINE:
             if tag == "a":
                 links = max(0, links - 1) if closing else 1

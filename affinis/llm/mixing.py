@@ -57,26 +57,73 @@ def pareto_key(text: Column, inclusion: Column) -> Column:
     return F.when(inclusion <= 0, F.lit(1.0)).when(inclusion >= 1, F.lit(0.0)).otherwise(top / (top + low))
 
 
+#: Repeated rows that are numbered together.
+REPEATS = 1 << 16
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with a number for each of several equal rows, in ``again``, from 1.
+
+    Equal rows are counted map-side and made again from the count, a bounded number in a task.
+    """
+    counted = cut_lineage(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")))
+    once = counted.filter("n = 1").withColumn("again", F.lit(1).cast("bigint"))
+    parts = counted.filter("n > 1").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / REPEATS))))
+    first = F.col("part") * REPEATS + 1
+    several = parts.repartition(*rows.columns, "part").withColumn(
+        "again", F.explode(F.sequence(first, F.least(F.col("n"), first + (REPEATS - 1))))
+    )
+    return once.drop("n").unionByName(several.drop("n", "part"))
+
+
+def inclusion_levels(rows: DataFrame, goal: DataFrame) -> DataFrame:
+    """``(number, level, certain)``: a document of ``size`` words is taken with probability
+    ``level * size``, and for certain if it has more words than ``certain``.
+
+    Probabilities go with size as far as they stay below 1, and expect ``rest`` words from a
+    source. Larger documents become certain one size after the other; one row per source and
+    size is worked on.
+    """
+    sizes = rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    placed = sizes.join(goal, sizes.source.eqNullSafe(goal.source)).select("number", "rest", "source_size", "size", "n")
+    upto = W.partitionBy("number").orderBy("size")
+    words = F.col("size") * F.col("n")
+    above = F.col("source_size") - F.sum(words).over(upto)
+    squares = F.sum(words * F.col("size")).over(upto)
+    level = F.when(squares > 0, (F.col("rest") - above) / squares)
+    fits = placed.withColumn("level", level).filter(F.col("level") * F.col("size") <= 1)
+    return fits.groupBy("number").agg(F.max(F.struct("size", "level")).alias("x")).select("number", F.col("x.level").alias("level"), F.col("x.size").alias("certain"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", cycle: int = 3, max_copies: int = 3, seed: int = 0) -> DataFrame:
-    """How often the mix takes every document: ``(id, source, size, source_size, target, copies)``.
+    """How often the mix takes every document: ``(id, source, size, source_size, target, copies, inclusion)``.
 
     Sources by code point, null last, weigh 1, 2, ..., ``cycle``, repeating. Each document of a
-    source is taken for certain as many whole times as the target holds the source; for the rest
-    documents are ranked by Pareto sampling's key with the rest as inclusion probability, and
-    those before the point nearest the remaining number of words are taken once more. So a
-    source's words miss its target by half a document at most, and no document is taken more
-    than ``max_copies`` times. Ranking needs no sort of a whole source: words are summed in
-    ``STEPS`` steps of the key, and only the step in which the sample ends is sorted.
-
-    Null and empty texts have size 0 and count no words. Ties of the key (repeated ids) go by
-    size; repeated rows are documents of their own. Other columns are ignored.
+    source is taken for certain as many whole times as the target holds the source. The rest is
+    a sample by Pareto order: a document is to be taken once more with probability ``inclusion``,
+    in proportion to its size, certain for those that would be above 1 (``inclusion_levels``);
+    documents are ranked by random odds over inclusion odds, and those before the point nearest
+    the remaining number of words are taken. So a source's words miss its target by half a document
+    at most, and no document is taken more than ``max_copies`` times. Ranking needs no sort of a
+    whole source: words are summed in ``STEPS`` steps of the key, and only the step in which the
+    sample ends is sorted.
+
+    The random number comes from ``seed``, id, text and, for equal rows, their number, so reruns
+    agree and rows without an id or with the same one have numbers of their own. Null and empty
+    texts have size 0 and count no words. Repeated rows are documents of their own. Other columns
+    are ignored.
     """
+    text = F.col(text_col).cast("string")
     rows = cut_lineage(
-        docs.select(
-            F.col(id_col).cast("bigint").alias("id"),
-            F.col(source_col).cast("string").alias("source"),
-            n_words(F.col(text_col).cast("string")).alias("size"),
-        )
+        _numbered(
+            docs.select(
+                F.col(id_col).cast("bigint").alias("id"),
+                F.col(source_col).cast("string").alias("source"),
+                n_words(text).alias("size"),
+                F.md5(F.coalesce(text, F.lit(""))).alias("digest"),
+            )
+        ).withColumn("name", F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("")), "digest", F.col("again").cast("string")))
+        .drop("digest", "again")
     )
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     by_name = W.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())  # one row per source
@@ -84,16 +131,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     goal = targets(numbered, F.col("number") % cycle + 1, max_copies)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(ratio).cast("bigint")
-    goal = cut_lineage(
-        goal.withColumn("whole", whole)
-        .withColumn("inclusion", ratio - F.col("whole"))
-        .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    )
+    goal = cut_lineage(goal.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")))
+    goal = cut_lineage(goal.join(inclusion_levels(rows, goal), "number", "left"))
     # both sides are stored tables, so that Spark can split a hot source
     same = F.col("r.source").eqNullSafe(F.col("g.source"))
-    placed = rows.alias("r").join(goal.alias("g"), same).select("r.*", "g.source_size", "g.number", "g.target", "g.whole", "g.inclusion", "g.rest")
-    name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")))
-    keyed = placed.withColumn("key", pareto_key(name, F.col("inclusion"))).withColumn(
+    placed = rows.alias("r").join(goal.alias("g"), same).select("r.*", *[f"g.{x}" for x in ("source_size", "number", "target", "whole", "rest", "level", "certain")])
+    share = F.coalesce(F.col("level") * F.col("size"), F.lit(0.0))
+    placed = placed.withColumn("inclusion", F.when(F.col("size") > F.col("certain"), F.lit(1.0)).otherwise(share))
+    keyed = placed.withColumn("key", pareto_key(F.col("name"), F.col("inclusion"))).withColumn(
         "step", F.least(F.floor(F.col("key") * STEPS), F.lit(STEPS - 1)).cast("int")
     )
     # at most STEPS rows a source
@@ -106,15 +151,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         .select("number", F.col("step").alias("edge"), "before")
     )
     joined = keyed.join(edge, "number", "left")
-    # without an edge the rest is the whole source, or the source has no words
+    # without an edge the source has no words
     sure = F.coalesce(F.col("step") < F.col("edge"), F.lit(True))
     inside = F.coalesce(F.col("step") == F.col("edge"), F.lit(False))
     order = W.partitionBy("number").orderBy("key", F.col("id").asc_nulls_last(), "size").rowsBetween(W.unboundedPreceding, -1)
     at_edge = joined.filter(inside)
     cut = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("size") / 2
-    columns = ["id", "source", "size", "source_size", "target", (F.col("whole") + F.col("more")).alias("copies")]
+    columns = ["id", "source", "size", "source_size", "target", (F.col("whole") + F.col("more")).alias("copies"), "inclusion"]
     return (
-        at_edge.withColumn("more", (cut <= F.col("rest")).cast("bigint"))
+        at_edge.withColumn("more", ((cut <= F.col("rest")) & (F.col("inclusion") > 0)).cast("bigint"))
         .select(*columns)
         .unionByName(joined.filter(~inside).withColumn("more", (sure & (F.col("inclusion") > 0)).cast("bigint")).select(*columns))
     )

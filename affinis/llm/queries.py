@@ -55,7 +55,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MIX_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
+         row_number() OVER (PARTITION BY doc_id, source, coalesce(text, '')) AS again,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents
 ), s AS (
@@ -78,14 +79,21 @@ WITH d AS (
 ), g AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM t
 ), h AS (
-  SELECT *, floor(ratio)::BIGINT AS whole, ratio - floor(ratio) AS pi,
-         target - floor(ratio) * source_size AS rest
-  FROM g
+  SELECT *, floor(ratio)::BIGINT AS whole, target - floor(ratio) * source_size AS rest FROM g
+), z AS (
+  SELECT number, any_value(rest) AS rest, any_value(source_size)::BIGINT AS source_size, size, count(*) AS n
+  FROM d JOIN h ON d.source IS NOT DISTINCT FROM h.source GROUP BY number, size
+), zl AS (
+  SELECT number, size, (rest - (source_size - sum(size * n) OVER upto)) / nullif(sum(size * n * size) OVER upto, 0) AS level
+  FROM z WINDOW upto AS (PARTITION BY number ORDER BY size)
+), e AS (
+  SELECT number, max(size) AS certain, arg_max(level, size) AS level FROM zl WHERE level * size <= 1 GROUP BY number
 ), u AS (
-  SELECT doc_id, size, source_size, target, number, whole, pi, rest,
-         (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT + 0.5::DOUBLE)
+  SELECT doc_id, size, source_size, target, number, whole, rest,
+         CASE WHEN size > certain THEN 1 ELSE coalesce(level * size, 0) END AS pi,
+         (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || digest || ':' || again), 1, 12))::BIGINT + 0.5::DOUBLE)
            / 281474976710656::DOUBLE AS u
-  FROM d JOIN h ON d.source IS NOT DISTINCT FROM h.source
+  FROM d JOIN h ON d.source IS NOT DISTINCT FROM h.source LEFT JOIN e USING (number)
 ), k AS (
   SELECT *, CASE WHEN pi <= 0 THEN 1 WHEN pi >= 1 THEN 0
                  ELSE u * (1 - pi) / (u * (1 - pi) + (1 - u) * pi) END AS key

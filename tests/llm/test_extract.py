@@ -70,3 +70,17 @@ def test_query_gives_the_articles(spark, sf_dir):
     for r in QUERIES["op5_main_text"](spark, sf_dir).collect():
         article = pages[r.page_id].partition("<article>")[2].partition("</article>")[0]
         assert r.text == " ".join(html.unescape(re.sub("<[^>]*>", " ", article)).split()) and r.n_chars == len(r.text)
+
+
+def test_pages_without_optional_tags_and_with_stray_quotes():
+    from affinis.llm.html_blocks import blocks
+
+    texts = lambda page: [b.text for b in blocks(page)]
+    assert texts("<html><head><title>t</title><p>Hello there<p>second") == ["Hello there", "second"]
+    assert texts("<p title=don't>one</p><p>two</p><p>it's three</p><p>four</p>") == ["one", "two", "it's three", "four"]
+    assert texts("<head><title>t</title><style>p > a {}</style><body><p>a") == ["a"]
+    assert texts("<p>a<svg><p>b<canvas>c") == ["a", "b", "c"] or texts("<p>a<svg><p>b<canvas>c") == ["a", "bc"]
+    assert texts("""<p title="a > b" id='x>y'>in</p><p data-x = "1>2">on</p>""") == ["in", "on"]
+    assert texts('<p title="never closed>lost</p><p>kept</p>') == ["lost", "kept"]
+    assert texts("<script>if (a < b) '<p>'</script><p>a</p><script>open <p>b") == ["a"]
+    assert texts("<p " + "a=" * 50_000) == []

@@ -47,6 +47,26 @@ def test_targets_and_samples(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_documents_are_included_in_proportion_to_size(spark):
+    from math import sqrt
+
+    rows = [(None, "a", "w " * (n + 1)) for n in (0, 3, 9) for _ in range(3000)] + [(7, "a", "w " * 3000)] * 2
+    rows += [(i, "b", "w " * 40) for i in range(500)] + [(None, "c", "x " * 5)] * 2000
+    got = mix(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    check(got, [(s, len(t.split())) for _, s, t in rows], 3000)
+    for source in "abc":
+        own = [r for r in got if r.source == source]
+        whole, rest = divmod(own[0].target, own[0].source_size)
+        assert sum(r.inclusion * r.size for r in own) == pytest.approx(rest)
+        for size in {r.size for r in own}:
+            same_size = [r for r in own if r.size == size]
+            want, n = same_size[0].inclusion, len(same_size)
+            taken = sum(r.copies - whole for r in same_size) / n
+            assert abs(taken - want) <= 4 * sqrt(want * (1 - want) / n) + 2 / n, (source, size)
+    level = {r.size: r.inclusion for r in got if r.source == "a"}
+    assert level[3000] == 1 and level[10] == pytest.approx(10 * level[1]) and 0 < level[4] < 1
+
+
 def test_empty_and_wordless_tables(spark):
     df = spark.createDataFrame([(1, "a", ""), (2, None, None)], "doc_id long, source string, text string")
     assert [(r.size, r.target, r.copies) for r in mix(df).collect()] == [(0, 0.0, 0)] * 2
