@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from affinis.llm.text_batch import SLICE
+from affinis.llm.text_batch import SLICE, releasing
 from affinis.session import cut_lineage
 
 #: N-grams in a profile, of a language and of a document.
@@ -176,12 +176,11 @@ def profiles(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang"
             add(lang)
         for lang in list(sums):
             yield send(lang)
-        pa.default_memory_pool().release_unused()
 
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t"))
     counted = (
         rows.dropna()
-        .mapInArrow(count, "lang string, gram bigint, n bigint")
+        .mapInArrow(releasing(count), "lang string, gram bigint, n bigint")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -270,5 +269,5 @@ def identify(docs: DataFrame, model: RankOrder | ManyLanguages, keep: list[str],
         return run
 
     for block in model.blocks():
-        found = found.mapInArrow(better(block), found.schema)
+        found = found.mapInArrow(releasing(better(block)), found.schema)
     return found.select(*[F.col(f"c{i}").alias(x) for i, x in enumerate(keep)], F.col(f"c{n - 2}").alias(names[0]), F.col(f"c{n - 1}").alias(names[1]))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.components import components, forest
-from affinis.llm.text_batch import words
+from affinis.llm.text_batch import releasing, words
 from affinis.session import cut_lineage
 
 #: Fingerprints of one cell held in memory while others stream past them.
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(run, "id bigint, fp bigint")
+    return rows.mapInArrow(releasing(run), "id bigint, fp bigint")
 
 
 def segments(distance: int, count: int = 3, bits: int = 64) -> list[tuple[int, int, int]]:
@@ -137,11 +137,12 @@ def _link_cells(distance: int):
                 n = 0
             change = np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])])
             group = np.cumsum(change)
-            links = [x for x in _pairs(group, fp, (np.flatnonzero(role == 0), np.arange(n, len(fp))), distance)]
+            x = y = np.zeros(0, np.int64)
+            for left, right in _pairs(group, fp, (np.flatnonzero(role == 0), np.arange(n, len(fp))), distance):
+                x, y = forest(np.concatenate([x, left]), np.concatenate([y, right]))  # no more links than fingerprints
             key0, cell0 = key[-1], cell[-1]
             held = fp[(group == group[-1]) & (role == 0)]
-            if links:
-                x, y = forest(*(np.concatenate(side) for side in zip(*links, strict=True)))
+            if len(x):
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
 
     return run
@@ -190,7 +191,7 @@ def near_links(fps: DataFrame, distance: int = 4, segment_count: int = 3) -> Dat
     return (
         dealt.repartition("key", "cell")
         .sortWithinPartitions("key", "cell", "role")
-        .mapInArrow(_link_cells(distance), "a bigint, b bigint")
+        .mapInArrow(releasing(_link_cells(distance)), "a bigint, b bigint")
     )
 
 

@@ -6,7 +6,8 @@ memory follows the chunk and not the batch. A null text has no words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +26,26 @@ LOWER[65:91] += 32
 _M1, _M2, _P = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
+def release() -> None:
+    """Gives unused memory back to the system; Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` over the batches of a task, and ``release`` at its end."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * _M1
