@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from affinis.functions import vectors as vx
-from affinis.operators import als, filters, incremental, item_item, knn, popularity, pruned, rank_metrics
+from affinis.operators import als, filters, incremental, item_item, knn, neighbor_graph, popularity, pruned, rank_metrics
 from affinis.plans import testdata as td
 from affinis.plans.catalog import sql as q
 from affinis.plans.catalog.registry import edges, prepared, query, stage
@@ -376,9 +376,10 @@ def knn_lsh(spark, sf):
     return knn.knn_lsh(_as_queries(v), v, 10)
 
 
-def _quality(index, v, comparisons):
-    exact = knn.knn_exact(_as_queries(v), v, 10)
-    found = index.search(_as_queries(v), 10)
+def _quality(index, v, comparisons, queries=None):
+    queries = _as_queries(v) if queries is None else queries
+    exact = knn.knn_exact(queries, v, 10)
+    found = index.search(queries, 10)
     row = knn.search_quality(found, exact, comparisons, v.count())
     return row.select((F.col("recall") >= 0.9).alias("recall_ok"), (F.col("comparisons") < 1).alias("fewer_comparisons"))
 
@@ -398,6 +399,34 @@ def knn_lsh_quality(spark, sf):
     return _quality(index, v, index.comparisons(_as_queries(v)))
 
 
+def _graph(spark, sf):
+    return stage(spark, sf, "graph", lambda: neighbor_graph.NeighborGraph(td.vectors(spark, sf)))
+
+
+@query("knn_graph_links", _V + "SELECT item_id, least(16, (SELECT count(*) FROM vectors) - 1) AS links FROM vectors")
+def knn_graph_links(spark, sf):
+    """Every item keeps the same number of neighbours in the graph."""
+    links = F.count(F.lit(1)).alias("links")
+    return _graph(spark, sf).edges.groupBy(F.col("item_i").alias("item_id")).agg(links)
+
+
+def _asked(v):
+    """Every row whose id is divisible by 50, asked against all rows."""
+    return _as_queries(v).filter("query_id % 50 = 0")
+
+
+@query("knn_graph")
+def knn_graph(spark, sf):
+    return _graph(spark, sf).search(_asked(td.vectors(spark, sf)), 10)
+
+
+@query("knn_graph_quality", "SELECT true AS recall_ok, true AS fewer_comparisons")
+def knn_graph_quality(spark, sf):
+    v = td.vectors(spark, sf)
+    looked = _graph(spark, sf).visits(_asked(v)).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    return _quality(_graph(spark, sf), v, looked, _asked(v))
+
+
 _SKEWED = _V.rstrip() + """,
 skewed AS (SELECT item_id, [x * (CAST(1000 AS DOUBLE) / ((1 + (item_id * 7) % 100) * (1 + (item_id * 7) % 100))) FOR x IN vec] AS vec FROM vectors)
 """
