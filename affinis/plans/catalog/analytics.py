@@ -140,6 +140,26 @@ def append_request_log(spark, sf):
     return log.groupBy("endpoint", "date").agg(F.count(F.lit(1)).alias("n"), F.sum("latency_ms").alias("latency"))
 
 
+@query(
+    "keyed_log_append",
+    q.with_(q.LOG, "shaped AS (" + " UNION ALL ".join(_LOGGED.values()) + ")")
+    + "SELECT endpoint, CAST(timestamp AS DATE) AS date, count(*) AS n, sum(latency_ms) AS latency FROM shaped GROUP BY 1, 2",
+)
+def keyed_log_append(spark, sf):
+    """Appends that share rows, and one appended twice, through the index of ids."""
+    import uuid
+
+    from affinis.session import checkpoint_dir
+    from affinis.sources.keyed_log import KeyedLog
+
+    log = KeyedLog(spark, f"{checkpoint_dir(spark)}/keyed_log_{uuid.uuid4().hex}")
+    parts = _logged(spark, sf)
+    log.append(parts["log_recommend"].unionByName(parts["log_similar"]), "first")
+    log.append(parts["log_similar"].unionByName(parts["log_popular"]), "second")
+    log.append(parts["log_popular"], "second")
+    return log.rows().groupBy("endpoint", "date").agg(F.count(F.lit(1)).alias("n"), F.sum("latency_ms").alias("latency"))
+
+
 @query("recent_requests", _LOG + "SELECT request_id, timestamp, endpoint FROM request_log ORDER BY timestamp DESC, request_id DESC LIMIT 100")
 def recent_requests(spark, sf):
     return kpi.recent_requests(td.request_log(spark, sf)).select("request_id", "timestamp", "endpoint")
