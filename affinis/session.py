@@ -4,13 +4,21 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_stages: list[str] = []
+class _Stages(threading.local):
+    """Tables of this thread: a stream's batches don't count or drop those of other jobs."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_stages = _Stages()
 
 
 def local_session(cpus: str | int = 8, app: str = "affinis", memory: str = "12g") -> SparkSession:
@@ -50,7 +58,7 @@ def cut_lineage(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     steps read only the columns and partitions they need.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    _stages.append(path)
+    _stages.paths.append(path)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -83,20 +91,20 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def drop_stages(spark: SparkSession, since: int = 0) -> int:
-    """Deletes the tables that ``cut_lineage`` of this process wrote; returns their number.
+    """Deletes the tables that ``cut_lineage`` of this thread wrote; returns their number.
 
     ``since`` keeps the first ones: pass the ``stage_count()`` from before a job. Results that
     still read the tables must have been written or collected before.
     """
-    sc, n = spark.sparkContext, len(_stages) - since
-    while len(_stages) > since:
-        path = sc._jvm.org.apache.hadoop.fs.Path(_stages.pop())
+    sc, n = spark.sparkContext, len(_stages.paths) - since
+    while len(_stages.paths) > since:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_stages.paths.pop())
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
     return n
 
 
 def stage_count() -> int:
-    return len(_stages)
+    return len(_stages.paths)
 
 
 def fix_partitions(df: DataFrame) -> DataFrame:

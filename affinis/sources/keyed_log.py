@@ -4,7 +4,9 @@ Beside the rows, each append leaves an index generation: the ids it added, dealt
 folders by hash, and a Bloom filter for each bucket. An append looks its ids up in the filters
 of their buckets and opens only id folders whose filter lets one of them through, so what it
 reads grows with the batch. A generation counts once its manifest row is written; an append
-that was lost is simply run again under the same name.
+that was lost is simply run again under the same name. ``fan_in`` generations of a level are
+merged into one of the next, so that their number stays logarithmic in the number of appends.
+One writer at a time.
 """
 
 from __future__ import annotations
@@ -12,13 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.session import cut_lineage
+from affinis.session import cut_lineage, drop_stages, stage_count
 from affinis.sources.request_log import LOG_SCHEMA, new_rows
 
 #: Bits for each id and places set for it: about one id in 2000 passes a filter by chance.
 BITS_PER_ID, HASHES = 16, 8
 
-_MANIFEST = "gen int, batch string"
+_MANIFEST = "gen int, batch string, level int, replaces array<int>"
 _FILTER = "gen int, bucket int, bits bigint, words array<bigint>"
 
 
@@ -35,58 +37,107 @@ def _one_at(place):
 class KeyedLog:
     """Rows under ``path/rows`` by generation and date, ids and filters under ``path/index``."""
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, schema: str = LOG_SCHEMA) -> None:
-        self.spark, self.path, self.buckets, self.schema = spark, path, buckets, schema
+    def __init__(
+        self, spark: SparkSession, path: str, buckets: int = 64, schema: str = LOG_SCHEMA, fan_in: int = 8
+    ) -> None:
+        self.spark, self.path, self.buckets, self.schema, self.fan_in = spark, path, buckets, schema, fan_in
         self.opened: list[tuple[int, int]] = []  # (generation, bucket) read by the last append
 
-    def _manifest(self) -> dict[str, int]:
+    def on(self, spark: SparkSession) -> KeyedLog:
+        """The same log in another session, such as that of a stream's batches."""
+        return KeyedLog(spark, self.path, self.buckets, self.schema, self.fan_in)
+
+    def _manifest(self) -> DataFrame:
+        read = self.spark.read.schema(_MANIFEST)
         try:
-            rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest").collect()
+            return read.parquet(f"{self.path}/manifest")
         except Exception as e:  # nothing yet
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-            return {}
-        return {r.batch: r.gen for r in rows}
+            return self.spark.createDataFrame([], _MANIFEST)
+
+    def generations(self) -> dict[int, int]:
+        """Level of each generation that no merge replaced: fewer than ``fan_in`` a level."""
+        made = self._manifest()
+        merged = made.select(F.explode("replaces").alias("gen"))
+        live = made.join(merged, "gen", "left_anti").select("gen", F.coalesce("level", F.lit(0)).alias("level"))
+        return {r.gen: r.level for r in live.collect()}
+
+    def holds(self, name: str) -> bool:
+        """Whether a batch of that name was added."""
+        return not self._manifest().filter(F.col("batch") == name).isEmpty()
 
     def _folder(self, part: str, gen: int) -> str:
         return f"{self.path}/{part}/gen={gen:06d}"
 
-    def _union(self, part: str, gens, schema: str) -> DataFrame:
-        read = self.spark.read.schema(schema)
-        out = self.spark.createDataFrame([], schema)
-        for g in gens:
-            out = out.unionByName(read.parquet(self._folder(part, g)))
-        return out
+    def _read(self, part: str, folders: list[str], schema: str) -> DataFrame:
+        """The folders of a part as one scan."""
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        read = self.spark.read.schema(f"{schema}, gen int").option("basePath", f"{self.path}/{part}")
+        return read.parquet(*folders).drop("gen")
+
+    def _part(self, part: str, gens, schema: str) -> DataFrame:
+        return self._read(part, [self._folder(part, g) for g in gens], schema)
 
     def rows(self) -> DataFrame | None:
         """All rows logged so far; None before the first append."""
-        gens = sorted(self._manifest().values())
-        return self._union("rows", gens, f"{self.schema}, date date") if gens else None
+        gens = sorted(self.generations())
+        return self._part("rows", gens, f"{self.schema}, date date") if gens else None
 
     def append(self, batch: DataFrame, name: str) -> bool:
         """Adds the rows of new ids; False if a batch of that name was added before.
 
         Of repeated ids in a batch the earliest row stays. Rows without an id are left out.
         """
-        done = self._manifest()
         self.opened = []
-        if name in done:
+        if self.holds(name):
             return False
+        mark = stage_count()
         bucket = F.pmod(F.xxhash64("request_id", F.lit(7)), F.lit(self.buckets)).cast("int")
         first = cut_lineage(new_rows(batch.filter("request_id IS NOT NULL")).withColumn("bucket", bucket))
-        gens = sorted(done.values())
-        if gens:
-            first = first.join(self._known(first.select("request_id", "bucket"), gens), "request_id", "left_anti")
-        gen = max(gens, default=-1) + 1
+        live = self.generations()
+        if live:
+            first = first.join(self._known(first.select("request_id", "bucket"), sorted(live)), "request_id", "left_anti")
         fresh = cut_lineage(first)
         rows = fresh.drop("bucket").withColumn("date", F.to_date("timestamp"))
+        gen = max(live, default=-1) + 1
+        self._write(gen, rows, fresh.select("request_id", "bucket"), name, 0, [])
+        drop_stages(self.spark, mark)
+        self._merge({**live, gen: 0})
+        return True
+
+    def _write(self, gen: int, rows: DataFrame, ids: DataFrame, name: str | None, level: int, replaces: list[int]) -> None:
+        """Rows, ids and filters, and last the manifest row that makes them count."""
         rows.write.mode("overwrite").partitionBy("date").parquet(self._folder("rows", gen))
-        ids = fresh.select("request_id", "bucket")
         ids.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(self._folder("index/ids", gen))
-        self._filters(ids, gen).write.mode("overwrite").parquet(self._folder("index/filters", gen))
-        manifest = self.spark.createDataFrame([(gen, name)], _MANIFEST)
+        written = self._part("index/ids", [gen], "request_id string, bucket int")
+        self._filters(written, gen).write.mode("overwrite").parquet(self._folder("index/filters", gen))
+        manifest = self.spark.createDataFrame([(gen, name, level, replaces)], _MANIFEST)
         manifest.coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
-        return True
+
+    def _merge(self, live: dict[int, int]) -> None:
+        """Merges levels with ``fan_in`` generations. Their folders stay for readers that opened them, until ``vacuum``."""
+        level = 0
+        while len(gens := sorted(g for g, at in live.items() if at == level)) >= self.fan_in:
+            gen = max(live) + 1
+            rows = self._part("rows", gens, f"{self.schema}, date date")
+            ids = self._part("index/ids", gens, "request_id string, bucket int")
+            self._write(gen, rows, ids, None, level + 1, gens)
+            live = {g: at for g, at in live.items() if g not in gens} | {gen: level + 1}
+            level += 1
+
+    def vacuum(self) -> int:
+        """Deletes the folders of merged generations; returns how many generations had any left."""
+        merged = [r.gen for r in self._manifest().select(F.explode("replaces").alias("gen")).collect()]
+        sc, gone = self.spark.sparkContext, 0
+        for gen in merged:
+            found = False
+            for part in ("rows", "index/ids", "index/filters"):
+                path = sc._jvm.org.apache.hadoop.fs.Path(self._folder(part, gen))
+                found |= path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+            gone += found
+        return gone
 
     def _filters(self, ids: DataFrame, gen: int) -> DataFrame:
         sizes = ids.groupBy("bucket").agg(
@@ -105,7 +156,8 @@ class KeyedLog:
 
     def _known(self, ids: DataFrame, gens: list[int]) -> DataFrame:
         """Ids of the batch that the log holds."""
-        filters = self._union("index/filters", gens, _FILTER)
+        # the filters bring their own generation, beside the folder's
+        filters = self.spark.read.schema(_FILTER).parquet(*[self._folder("index/filters", g) for g in gens])
 
         def is_set(place):
             word = F.element_at(F.col("words"), (F.floor(place / 64) + 1).cast("int"))
@@ -113,12 +165,8 @@ class KeyedLog:
 
         passed = ids.join(filters, "bucket").filter(F.forall(_places("request_id", F.col("bits")), is_set))
         maybe = cut_lineage(passed.select("request_id", "gen", "bucket"))
-        # at most buckets x generations
+        # at most buckets x live generations
         self.opened = sorted((r.gen, r.bucket) for r in maybe.select("gen", "bucket").distinct().collect())
-        out = self.spark.createDataFrame([], "request_id string")
-        for g in sorted({g for g, _ in self.opened}):
-            wanted = [b for of, b in self.opened if of == g]
-            held = self.spark.read.schema("request_id string, bucket int").parquet(self._folder("index/ids", g))
-            here = held.filter(F.col("bucket").isin(wanted)).select("request_id")
-            out = out.unionByName(maybe.filter(F.col("gen") == g).select("request_id").join(here, "request_id", "left_semi"))
-        return out
+        folders = [f"{self._folder('index/ids', g)}/bucket={b}" for g, b in self.opened]
+        held = self._read("index/ids", folders, "request_id string, bucket int")
+        return maybe.select("request_id").distinct().join(held.select("request_id"), "request_id", "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from affinis.operators.kpi import RECOMMEND
+from affinis.sources.keyed_log import KeyedLog
 from affinis.sources.request_log import LOG_SCHEMA
 
 
@@ -36,6 +37,23 @@ def stream_log_ingest(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def stream_keyed_ingest(stream: DataFrame, log: KeyedLog, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Append the rows of ids that the log does not hold, however long ago it got them.
+
+    Each micro-batch is an append under the stream's id and the batch number, so a batch run
+    again after a failure, or a restart from the checkpoint, adds nothing. Rows that the log
+    held before the stream count as well, and a new checkpoint over the same input only repeats.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        stream_id = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        log.on(spark).append(batch, f"{stream_id}/{number}")
+
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def window_kpis(log: DataFrame, width: str = "1 hour", slide: str | None = None) -> DataFrame:
     """Figures per time window: requests, users (approximate), latency, fallback rate.
 

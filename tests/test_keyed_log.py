@@ -49,3 +49,29 @@ def test_empty_batches(spark, tmp_path):
     assert log.rows().isEmpty()
     assert log.append(batch_df(spark, ["x"], 0, 1.0), "a")
     assert [r.request_id for r in log.rows().collect()] == ["x"]
+
+
+def test_generations_are_merged(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path / "log"), buckets=4, schema=SCHEMA, fan_in=2)
+    for n in range(5):  # every batch repeats half of the one before
+        assert log.append(batch_df(spark, [f"r{i}" for i in range(10 * n, 10 * n + 20)], n, float(n)), f"b{n}")
+        assert len(log.generations()) <= 3
+    assert sorted(log.generations().values()) == [0, 2]
+    rows = {r.request_id: r.latency_ms for r in log.rows().collect()}
+    assert rows == {f"r{i}": float(max(0, (i - 10) // 10)) for i in range(60)} and log.rows().count() == 60
+    assert not log.append(batch_df(spark, ["other"], 9, 9.0), "b0")  # names outlive merges
+    assert log.vacuum() == 6 and log.vacuum() == 0
+    assert log.rows().count() == 60
+    log.append(batch_df(spark, ["r1", "r55", "new"], 9, 9.0), "last")
+    assert log.rows().count() == 61
+
+
+def test_a_lost_merge_is_made_up_for(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path / "log"), buckets=4, schema=SCHEMA, fan_in=2)
+    log._merge = lambda live: None
+    for n in range(2):
+        log.append(batch_df(spark, [f"r{n}", "both"], n, float(n)), f"b{n}")
+    assert len(log.generations()) == 2
+    again = log.on(spark)
+    again.append(batch_df(spark, ["r2"], 2, 2.0), "b2")
+    assert len(again.generations()) == 1 and again.rows().count() == 4

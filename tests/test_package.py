@@ -28,7 +28,7 @@ def test_stages_can_be_dropped(spark):
 
     before = session.stage_count()
     df = session.cut_lineage(spark.range(3).toDF("x"))
-    path = session._stages[-1]
+    path = session._stages.paths[-1]
     assert df.count() == 3
     assert session.drop_stages(spark, before) == 1
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
