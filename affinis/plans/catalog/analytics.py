@@ -549,7 +549,10 @@ def catalog_coverage(spark, sf):
 def _log_stream(spark, sf):
     """The events table arriving as a stream of log rows."""
     schema = td.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return _log_rows(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf))
+
+
+def _log_rows(events):
     kind = F.col("event_type")
     return events.select(
         F.col("event_id").cast("string").alias("request_id"),
@@ -587,6 +590,27 @@ def stream_log_ingest(spark, sf):
     )
 
 
+@query(
+    "stream_keyed_ingest",
+    _LOG + """SELECT endpoint, count(*) AS n, count(DISTINCT request_id) AS n_ids,
+      sum(CASE WHEN endpoint = '/popular' THEN -1.0 ELSE latency_ms END) AS latency FROM request_log GROUP BY 1""",
+)
+def stream_keyed_ingest(spark, sf):
+    """Ingest the stream twice over into a log that holds the rows of one endpoint; those stay as they were."""
+    from affinis.sources.keyed_log import KeyedLog
+    from affinis.streaming.jobs import stream_keyed_ingest as ingest
+
+    once = _log_stream(spark, sf)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in once.schema)
+    log = KeyedLog(spark, _scratch(spark, "stream_keyed"), schema=schema, fan_in=2)
+    held = _log_rows(td.table(spark, sf, "events")).filter("endpoint = '/popular'")
+    log.append(held.withColumn("latency_ms", F.lit(-1.0)), "held before")
+    ingest(once.union(_log_stream(spark, sf)), log, log.path + "_state", once=True).awaitTermination()
+    return log.rows().groupBy("endpoint").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("request_id").alias("n_ids"), F.sum("latency_ms").alias("latency")
+    )
+
+
 @query(
     "stream_kpis",
     _LOG + """SELECT strftime(time_bucket(INTERVAL '1 day', timestamp), '%Y-%m-%d') AS day, count(*) AS total_requests, avg(latency_ms) AS mean_ms,
