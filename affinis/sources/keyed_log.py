@@ -128,16 +128,20 @@ class KeyedLog:
             level += 1
 
     def vacuum(self) -> int:
-        """Deletes the folders of merged generations; returns how many generations had any left."""
-        merged = [r.gen for r in self._manifest().select(F.explode("replaces").alias("gen")).collect()]
-        sc, gone = self.spark.sparkContext, 0
-        for gen in merged:
-            found = False
-            for part in ("rows", "index/ids", "index/filters"):
-                path = sc._jvm.org.apache.hadoop.fs.Path(self._folder(part, gen))
-                found |= path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-            gone += found
-        return gone
+        """Deletes the folders of merged generations; returns the number of generations deleted.
+
+        Folders above the last live generation may belong to an append that is still writing and stay.
+        """
+        live, sc = self.generations(), self.spark.sparkContext
+        gone = set()
+        for part in ("rows", "index/ids", "index/filters"):
+            root = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+            fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+            for status in fs.listStatus(root) if live else []:
+                gen = int(status.getPath().getName().removeprefix("gen="))
+                if gen < max(live) and gen not in live and fs.delete(status.getPath(), True):
+                    gone.add(gen)
+        return len(gone)
 
     def _filters(self, ids: DataFrame, gen: int) -> DataFrame:
         sizes = ids.groupBy("bucket").agg(
