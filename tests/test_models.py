@@ -3,7 +3,7 @@ import pytest
 from helpers import SIMPLE, cosine, matrix_df, top_edges
 from pyspark.sql import functions as F
 
-from affinis.operators import als, knn
+from affinis.operators import als, item_item, knn
 from affinis.operators.block_topk import block_topk
 from affinis.operators.item_item import (
     item_item_fit,
@@ -47,6 +47,21 @@ def test_dense_histories_use_the_dense_product(spark):
     assert np.abs(full - cosine(x)).max() < 1e-12
 
 
+def test_short_histories_make_rows_for_pairs_instead_of_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = (rng.random((150, 120)) < 0.04) * rng.integers(1, 4, (150, 120)).astype(float)
+    s, m = cosine(x), matrix_df(spark, x)
+
+    def no_blocks(*_):
+        raise AssertionError("blocks were used")
+
+    monkeypatch.setattr(item_item, "_place_items", no_blocks)
+    full = as_array(item_item_fit(m, None, block_items=4), 120)
+    assert np.abs(full - s).max() < 1e-12
+    some = item_item_fit(m, 5, 0.05, block_items=4)
+    assert {(r.item_i, r.item_j) for r in some.collect()} == top_edges(s, 5, 0.05)
+
+
 def test_simple_matrix(spark):
     edges = item_item_fit(matrix_df(spark, SIMPLE), 2).cache()
     s = as_array(edges, 6)
