@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from test_contamination import tokens
 from test_mixing import check
 from test_simhash import fingerprint, grouped
@@ -158,3 +159,11 @@ def test_cutting():
     assert stages._without("a b\nc  d e", [(1, 3)]) == "a d e"
     assert stages._without("a b", [(0, 2)]) == ""
     assert stages._without(" é b c", [(0, 1), (0, 2)]) == " c"
+
+
+def test_language_threshold_is_the_median_of_all_labelled_documents(spark):
+    fit = (F.col("id") * F.col("id")) / 1e9  # a part of the rows would have another median
+    rows = spark.range(30_001).select(F.lit("x").alias("text"), F.lit("en").alias("lang"), F.lit("en").alias("language"), fit.alias("fit"))
+    other = spark.createDataFrame([("x", "en", "de", 9.0), (None, "en", "en", 9.0), ("x", None, "en", 9.0)], rows.schema)
+    assert stages._threshold(rows.unionByName(other), "language", "fit") == pytest.approx(stages.LANGUAGE_SHARE * 15_000**2 / 1e9, rel=1e-12)
+    assert stages._threshold(other, "language", "fit") == 0.0
