@@ -213,3 +213,16 @@ def test_als(spark):
     one = als.embeddings_get(model.users, spark.createDataFrame([(3,)], "idx bigint"))
     assert [len(r.vec) for r in one.collect()] == [8]
     assert als.model_params(spark, "als", model.params).first().params["factors"] == "8"
+
+
+def test_als_drops_its_shuffles_every_iteration(spark, monkeypatch):
+    seen = {}
+
+    class Noted(als.ALS):
+        def __init__(self, **settings):
+            seen.update(settings)
+            super().__init__(**settings)
+
+    monkeypatch.setattr(als, "ALS", Noted)
+    model = als.als_fit(matrix_df(spark, SIMPLE), factors=4, iterations=2)
+    assert seen["checkpointInterval"] == 1 and model.users.count() == 5
