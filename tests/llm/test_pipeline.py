@@ -164,6 +164,6 @@ def test_cutting():
 def test_language_threshold_is_the_median_of_all_labelled_documents(spark):
     fit = (F.col("id") * F.col("id")) / 1e9  # a part of the rows would have another median
     rows = spark.range(30_001).select(F.lit("x").alias("text"), F.lit("en").alias("lang"), F.lit("en").alias("language"), fit.alias("fit"))
-    other = spark.createDataFrame([("x", "en", "de", 9.0), (None, "en", "en", 9.0), ("x", None, "en", 9.0)], rows.schema)
+    other = spark.createDataFrame([("x", "en", "de", 9.0), (None, "en", "en", 9.0), ("x", None, "en", 9.0)], "text string, lang string, language string, fit double")
     assert stages._threshold(rows.unionByName(other), "language", "fit") == pytest.approx(stages.LANGUAGE_SHARE * 15_000**2 / 1e9, rel=1e-12)
     assert stages._threshold(other, "language", "fit") == 0.0
