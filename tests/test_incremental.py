@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from affinis.operators import block_topk, item_item
 from affinis.operators.incremental import IncrementalItemItem
+from affinis.operators import pruned
 from affinis.operators.pruned import PrunedSearch
 
 
@@ -98,3 +99,18 @@ def test_pruned_search_of_no_items(spark):
     none = spark.createDataFrame([], "item_id long, vec array<double>")
     queries = vectors(spark, np.ones((2, 3)), "query_id")
     assert PrunedSearch(none).search(queries, 3).collect() == []
+
+
+def test_pruned_search_takes_the_rest_at_once_where_norms_are_equal(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((600, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    queries, items = vectors(spark, rng.standard_normal((20, 12)), "query_id"), vectors(spark, x)
+    skip = spark.createDataFrame([(q, i) for q in range(20) for i in range(q, 600, 7)], "query_id long, item_id long")
+    calls, search = [], block_topk.block_topk
+    monkeypatch.setattr(pruned, "block_topk", lambda *a, **k: calls.append(1) or search(*a, **k))
+    index = PrunedSearch(items, first=32)
+    got = index.search(queries, 10, skip)
+    assert len(index.steps) > 4 and len(calls) == 2 and index.comparisons <= 20 * 600
+    want = search(queries, items, 10, skip=skip)
+    assert rows_of(got, "query_id", "rank", "item_id", "score") == rows_of(want, "query_id", "rank", "item_id", "score")
