@@ -382,11 +382,12 @@ def item_item_recommend(
         return top
     if catalog is None:
         raise ValueError("fill_zero needs the item catalog")
-    return _pad(top, scores, liked, skip, allowed, catalog, n, user, item)
+    # read several times below
+    return _pad(cut_lineage(top), liked, skip, allowed, catalog, n, user, item)
 
 
-def _pad(top, scores, liked, skip, allowed, catalog, n, user, item) -> DataFrame:
-    """Append zero-score items for users with fewer than ``n`` scored ones.
+def _pad(top, liked, skip, allowed, catalog, n, user, item) -> DataFrame:
+    """Append zero-score items for users with fewer than ``n`` scored ones, all of which are in ``top``.
 
     A user with s blocked items finds its padding among the first n + s allowed catalog
     positions, so the candidates grow with the history, not with users x items.
@@ -397,7 +398,7 @@ def _pad(top, scores, liked, skip, allowed, catalog, n, user, item) -> DataFrame
         .fillna(0, ["_have"])
         .filter(F.col("_have") < n)
     )
-    blocked = scores.select(user, item).join(short.select(user), user, "left_semi")
+    blocked = top.select(user, item).join(short.select(user), user, "left_semi")
     if skip is not None:
         blocked = blocked.unionByName(skip.join(short.select(user), user, "left_semi"))
     blocked = blocked.distinct()

@@ -97,12 +97,16 @@ def evaluate_model(
     # one row per requested k, also when nobody could be evaluated
     ks = recs.sparkSession.createDataFrame([(int(k),) for k in k_values], "k int")
     filled = ks.join(means, "k", "left")
-    cut = filled.select("k", F.expr(f"stack(4, {', '.join(f'{m!r}, {m}' for m in names)}) as (metric, value)"))
-    cut = cut.select("metric", "k", F.coalesce("value", F.lit(0.0)).alias("value"))
-    overall = filled.filter(F.col("k") == int(k_values[0])).select(
-        F.expr("stack(2, 'mrr', coalesce(mrr, 0D), 'n_users_evaluated', cast(coalesce(n, 0) as double)) as (metric, value)")
-    ).select("metric", F.lit(None).cast("int").alias("k"), "value")
-    return cut.unionByName(overall)
+
+    def figure(name: str, value: Column, k: Column) -> Column:
+        return F.struct(F.lit(name).alias("metric"), k.alias("k"), F.coalesce(value.cast("double"), F.lit(0.0)).alias("value"))
+
+    # both kinds from the same rows, so that the lists are scored once
+    no_k = F.lit(None).cast("int")
+    cut = F.array(*[figure(m, F.col(m), F.col("k")) for m in names])
+    overall = F.array(figure("mrr", F.col("mrr"), no_k), figure("n_users_evaluated", F.col("n"), no_k))
+    first = F.col("k") == int(k_values[0])
+    return filled.select(F.explode(F.when(first, F.concat(cut, overall)).otherwise(cut)).alias("f")).select("f.*")
 
 
 def evaluate_model_df(

@@ -1,6 +1,8 @@
 import math
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from affinis.operators.rank_metrics import (
     catalog_coverage,
@@ -63,3 +65,9 @@ def test_nobody_to_evaluate(spark):
 def test_coverage(spark):
     r = catalog_coverage(recs(spark, {1: [1, 2], 2: [2, 3]}), pairs(spark, {0: [1, 2, 3, 4]}), top=1)
     assert tuple(r.first()) == (2, 4, 0.5)
+
+
+def test_lists_are_scored_once_for_all_figures(spark):
+    lists = spark.range(977).select((F.col("id") % 50).alias("user_id"), (F.col("id") % 7 + 1).cast("int").alias("rank"), F.col("id").alias("item_id"))
+    plan = evaluate_model(lists, pairs(spark, {1: [1]}))._jdf.queryExecution().executedPlan().toString()
+    assert len(set(re.findall(r"Range \(0, 977.*", plan))) == 1 and plan.split("Initial Plan")[0].count("Range (0, 977") == 1

@@ -1,10 +1,11 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SIMPLE, cosine, matrix_df, top_edges
 from pyspark.sql import functions as F
 
 from affinis.operators import als, item_item, knn
-from affinis.operators.block_topk import block_topk
+from affinis.operators.block_topk import _GridCell, block_topk
 from affinis.operators.item_item import (
     item_item_fit,
     item_item_recommend,
@@ -152,6 +153,46 @@ def test_block_topk_matches_plain_scoring(spark):
                 assert [j for _, j in sorted(got.get(f"q{i}", []))] == want
 
 
+def test_block_topk_looks_for_a_kth_best_in_the_first_block_only(monkeypatch):
+    rng = np.random.default_rng(4)
+    cell = _GridCell(False, False, 9)
+    cell.query_parts = [_part(asked := np.arange(20), rng.normal(size=(20, 6)))]
+    cell._prepare()
+    v = rng.normal(size=(900, 6))
+    v[5] = v[700]
+    v[3] = np.nan  # scores that are no numbers take no place
+    blocks = [_part(np.arange(s, s + 100), v[s : s + 100]) for s in range(0, 900, 100)]
+    cell.add_items(blocks[0])
+    assert (cell.floor > -np.inf).all()
+    for b in blocks[1:]:
+        cell.add_items(b)
+    assert cell.held < 20 * 900 // 4
+    got = pa.Table.from_batches(list(cell.result())).to_pandas()
+    score = np.round(cell.vec @ v.T, 9)
+    for q in asked:
+        want = sorted((-x, j) for j, x in enumerate(score[q]) if not np.isnan(x))[:10]
+        found = got[got.query_id == q]
+        assert sorted(zip(-found.score, found.item_id)) == want
+
+
+def _part(ids, vec):
+    n = len(ids)
+    column = pa.FixedSizeListArray.from_arrays(pa.array(vec.ravel()), vec.shape[1]).cast(pa.list_(pa.float64()))
+    none = {"genres": pa.list_(pa.string()), "year": pa.int32(), "year_min": pa.int32(), "year_max": pa.int32()}
+    columns = {"query_id": pa.array(ids), "skip_key": pa.array(ids), "item_id": pa.array(ids), "vec": column, "k": pa.array([10] * n, pa.int32()),
+               "chunk": pa.array([0] * n, pa.int32())} | {c: pa.nulls(n, t) for c, t in none.items()}
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def test_filled_lists_are_scored_once(spark):
+    edges = spark.range(977).select((F.col("id") % 30).alias("item_i"), ((F.col("id") + 7) % 31).alias("item_j"), F.lit(0.5).alias("sim")).dropDuplicates(["item_i", "item_j"])
+    history = spark.createDataFrame([(u, i) for u in range(4) for i in range(u, 9)], "user_idx long, item_idx long")
+    catalog = spark.range(40).select(F.col("id").alias("item_idx"))
+    lists = item_item_recommend(edges, history, 35, fill_zero=True, catalog=catalog)
+    assert "Range (0, 977" not in lists._jdf.queryExecution().executedPlan().toString()
+    assert {r["count"] for r in lists.groupBy("user_idx").count().collect()} == {31, 32, 33, 34}
+
+
 def clustered(spark, n=600, seed=5):
     rng = np.random.default_rng(seed)
     centers = rng.normal(size=(12, 16)) * 3
