@@ -1,9 +1,9 @@
 """A request log that keeps the first row of every request id, over any span of time.
 
 Beside the rows, each append leaves an index generation: the ids it added, dealt to ``buckets``
-folders by hash, and a Bloom filter for each bucket. An append looks its ids up in the filters
-of their buckets and opens only id folders whose filter lets one of them through, so what it
-reads grows with the batch. A generation counts once its manifest row is written; an append
+folders by hash, and a Bloom filter for each bucket, cut into blocks of a bounded number of ids. An
+append looks each id up in one block of its bucket's filter and opens only id folders whose filter
+lets one of them through, so what it reads grows with the batch. A generation counts once its manifest row is written; an append
 that was lost is simply run again under the same name. ``fan_in`` generations of a level are
 merged into one of the next, so that their number stays logarithmic in the number of appends.
 One writer at a time.
@@ -19,9 +19,11 @@ from affinis.sources.request_log import LOG_SCHEMA, new_rows
 
 #: Bits for each id and places set for it: about one id in 2000 passes a filter by chance.
 BITS_PER_ID, HASHES = 16, 8
+#: Ids of a filter's block, on average. Blocks are what ids are joined with, so they stay small.
+BLOCK_IDS = 256
 
 _MANIFEST = "gen int, batch string, level int, replaces array<int>"
-_FILTER = "gen int, bucket int, bits bigint, words array<bigint>"
+_FILTER = "gen int, bucket int, bits bigint, words array<bigint>, blocks bigint, block bigint"
 
 
 def _places(request_id, bits):
@@ -30,6 +32,11 @@ def _places(request_id, bits):
     return F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda n: F.pmod(first + n * step, bits))
 
 
+def _block(request_id, blocks):
+    """The block of an id in a filter of that many."""
+    return F.pmod(F.xxhash64(request_id, F.lit(3)), blocks)
+
+
 def _one_at(place):
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
 
@@ -144,30 +151,38 @@ class KeyedLog:
         return len(gone)
 
     def _filters(self, ids: DataFrame, gen: int) -> DataFrame:
-        sizes = ids.groupBy("bucket").agg(
-            (F.ceil(F.count(F.lit(1)) * BITS_PER_ID / 64) * 64).cast("bigint").alias("bits")
-        )
-        set_bits = ids.join(sizes, "bucket").select("bucket", "bits", F.explode(_places("request_id", F.col("bits"))).alias("p"))
+        blocks = F.ceil(F.col("n") / BLOCK_IDS)
+        bits = (F.ceil(F.col("n") * BITS_PER_ID / blocks / 64) * 64).cast("bigint")
+        # one row a bucket
+        sizes = cut_lineage(ids.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).select("bucket", blocks.cast("bigint").alias("blocks"), bits.alias("bits")))
+        key = ["bucket", "blocks", "bits", "block"]
+        placed = ids.join(sizes, "bucket").withColumn("block", _block("request_id", F.col("blocks")))
+        set_bits = placed.select(*key, F.explode(_places("request_id", F.col("bits"))).alias("p"))
         word = F.bit_or(_one_at(F.col("p"))).alias("word")
-        words = set_bits.groupBy("bucket", "bits", F.floor(F.col("p") / 64).alias("at")).agg(word)
-        # the words of a filter that are not zero, put in their places
-        held = words.groupBy("bucket", "bits").agg(F.map_from_entries(F.collect_list(F.struct("at", "word"))).alias("m"))
+        words = set_bits.groupBy(*key, F.floor(F.col("p") / 64).alias("at")).agg(word)
+        # the words of a block that are not zero, put in their places
+        held = words.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("at", "word"))).alias("m"))
         all_words = F.transform(
             F.sequence(F.lit(0).cast("bigint"), (F.col("bits") / 64 - 1).cast("bigint")),
             lambda n: F.coalesce(F.try_element_at("m", n), F.lit(0).cast("bigint")),
         )
-        return held.select(F.lit(gen).alias("gen"), "bucket", "bits", all_words.alias("words"))
+        return held.select(F.lit(gen).alias("gen"), "bucket", "bits", all_words.alias("words"), "blocks", "block")
 
     def _known(self, ids: DataFrame, gens: list[int]) -> DataFrame:
         """Ids of the batch that the log holds."""
         # the filters bring their own generation, beside the folder's
         filters = self.spark.read.schema(_FILTER).parquet(*[self._folder("index/filters", g) for g in gens])
+        # a filter written before there were blocks is one block
+        filters = filters.withColumns({"blocks": F.coalesce("blocks", F.lit(1)), "block": F.coalesce("block", F.lit(0))})
+        # one row a bucket and live generation
+        sizes = cut_lineage(filters.select("gen", "bucket", "blocks").distinct())
+        sought = ids.join(sizes, "bucket").withColumn("block", _block("request_id", F.col("blocks")))
 
         def is_set(place):
             word = F.element_at(F.col("words"), (F.floor(place / 64) + 1).cast("int"))
             return word.bitwiseAND(_one_at(place)) != 0
 
-        passed = ids.join(filters, "bucket").filter(F.forall(_places("request_id", F.col("bits")), is_set))
+        passed = sought.join(filters.drop("blocks"), ["gen", "bucket", "block"]).filter(F.forall(_places("request_id", F.col("bits")), is_set))
         maybe = cut_lineage(passed.select("request_id", "gen", "bucket"))
         # at most buckets x live generations
         self.opened = sorted((r.gen, r.bucket) for r in maybe.select("gen", "bucket").distinct().collect())

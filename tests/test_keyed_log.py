@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from affinis.sources import keyed_log
 from affinis.sources.keyed_log import KeyedLog
 
 SCHEMA = "request_id string, timestamp timestamp, latency_ms double"
@@ -75,3 +76,25 @@ def test_a_lost_merge_is_made_up_for(spark, tmp_path):
     again = log.on(spark)
     again.append(batch_df(spark, ["r2"], 2, 2.0), "b2")
     assert len(again.generations()) == 1 and again.rows().count() == 4
+
+
+def test_filters_are_cut_into_small_blocks(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path / "log"), buckets=1, schema=SCHEMA)
+    log.append(batch_df(spark, [f"r{n}" for n in range(5000)], 0, 1.0), "a")
+    filters = spark.read.parquet(log._folder("index/filters", 0))
+    assert max(r.n for r in filters.select(F.size("words").alias("n")).collect()) <= 64  # of 256 ids, however many there are
+    log.append(batch_df(spark, [f"r{n}" for n in range(4000, 6000)], 1, 2.0), "b")
+    rows = {r.request_id: r.latency_ms for r in log.rows().collect()}
+    assert rows == {f"r{n}": 1.0 if n < 5000 else 2.0 for n in range(6000)} and log.rows().count() == 6000
+
+
+def test_filters_without_blocks_are_still_read(spark, tmp_path, monkeypatch):
+    log = KeyedLog(spark, str(tmp_path / "log"), buckets=2, schema=SCHEMA)
+    with monkeypatch.context() as m:
+        m.setattr(keyed_log, "BLOCK_IDS", 10**9)
+        log.append(batch_df(spark, [f"r{n}" for n in range(600)], 0, 1.0), "a")
+    whole = spark.read.parquet(log._folder("index/filters", 0)).drop("block", "blocks").collect()
+    old = spark.createDataFrame(whole, "gen int, bucket int, bits bigint, words array<bigint>")
+    old.write.mode("overwrite").parquet(log._folder("index/filters", 0))
+    log.append(batch_df(spark, [f"r{n}" for n in range(500, 700)], 1, 2.0), "b")
+    assert log.rows().count() == 700 and log.rows().filter("latency_ms = 1").count() == 600
