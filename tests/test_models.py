@@ -233,6 +233,23 @@ def test_knn_exact_and_approximate(spark):
     assert {r.item_id: r.vec is None for r in knn.vector_by_idx(items, ask).collect()} == {3: False, 9999: True}
 
 
+
+def test_single_precision_vectors_travel_as_they_are(spark):
+    _, wide = clustered(spark, 120)
+    items = wide.withColumn("vec", F.col("vec").cast("array<float>"))
+    queries = items.withColumnRenamed("item_id", "query_id")
+    for index in (knn.IvfIndex(items, nlist=5), knn.LshIndex(items, tables=3)):
+        assert index.items.schema["vec"].dataType.simpleString() == "array<float>"  # not twice as wide
+        # as from vectors that are divided beforehand
+        unit = index.items.withColumn("vec", F.transform("vec", lambda x: x.cast("double") / F.col("len"))).drop("len")
+        found = sorted(map(tuple, index.search(queries, 4).collect()))
+        index.items = unit
+        assert found == sorted(map(tuple, index.search(queries, 4).collect())) and len(found) > 400
+    exact = knn.knn_exact(queries, items, 4).collect()
+    doubled = items.withColumn("vec", F.col("vec").cast("array<double>"))
+    assert sorted(map(tuple, exact)) == sorted(map(tuple, knn.knn_exact(doubled.withColumnRenamed("item_id", "query_id"), doubled, 4).collect()))
+
+
 def test_als(spark):
     x = skewed_matrix(60, 40, 3)
     m = matrix_df(spark, x).cache()
