@@ -28,6 +28,8 @@ CHUNK_ROWS = 4_000_000
 _PAIR_STEP = 2_000_000  # item pairs expanded at a time inside a task
 #: Longest history whose pairs may become rows, and how many such rows a pair of block cells is worth.
 PAIRED_HISTORY, CELL_ROWS = 4096, 8
+#: Neighbours of an item that travel in one row.
+LIST_EDGES = 256
 
 _PARTIAL_SCHEMA = "item_i bigint, item_j bigint, dot double, norm2 double"
 
@@ -343,6 +345,40 @@ def liked_scores(edges: DataFrame, history: DataFrame, user: str = "user_idx", i
     )
 
 
+def _open_scores(edges: DataFrame, history: DataFrame, skip: DataFrame | None, user: str, item: str) -> DataFrame:
+    """``liked_scores`` without the pairs of ``skip``, left partitioned by user.
+
+    A row for each liked item travels with the item's neighbours, and the pairs to skip come the
+    same way, so one shuffle by user serves the sums, the exclusion and the ranking after it.
+    """
+    own = history.select(user, F.col(item).alias("item_i"))
+    lists = own.join(_neighbor_lists(edges), "item_i").select(user, "_items", "_sims", F.lit(False).alias("_skip"))
+    if skip is not None:
+        kind = edges.schema["item_j"].dataType
+        pairs = skip.filter(F.col(user).isNotNull() & F.col(item).isNotNull())
+        lists = lists.unionByName(pairs.select(
+            user, F.array(F.col(item).cast(kind)).alias("_items"), F.array(F.lit(0.0)).alias("_sims"), F.lit(True).alias("_skip")
+        ))
+    rows = lists.repartition(user).select(user, F.posexplode("_items").alias("_at", item), "_sims", "_skip")
+    sums = rows.select(user, item, F.get("_sims", "_at").alias("_sim"), "_skip").groupBy(user, item).agg(
+        F.round(F.sum("_sim"), 9).alias("score"), F.max("_skip").alias("_skip")
+    )
+    return sums.filter("NOT _skip").drop("_skip")
+
+
+def _neighbor_lists(edges: DataFrame) -> DataFrame:
+    """``(item_i, _items, _sims)``: neighbours of an item and their similarities, ``LIST_EDGES`` a row."""
+    w = W.partitionBy("item_i").orderBy("item_j")
+    part = F.floor((F.row_number().over(w) - 1) / LIST_EDGES)
+    pair = F.struct(F.col("item_j").alias("j"), F.col("sim").cast("double").alias("s"))
+    return (
+        edges.filter("item_i IS NOT NULL")
+        .withColumn("_part", part)
+        .groupBy("item_i", "_part").agg(F.collect_list(pair).alias("_l"))
+        .select("item_i", F.col("_l.j").alias("_items"), F.col("_l.s").alias("_sims"))
+    )
+
+
 def rank_scores(scores: DataFrame, n: int, user: str = "user_idx", item: str = "item_idx") -> DataFrame:
     """Best ``n`` items per user with ``rank`` 1..n (ties: smaller id first)."""
     w = W.partitionBy(user).orderBy(F.desc("score"), item)
@@ -369,14 +405,12 @@ def item_item_recommend(
     """
     if allowed is not None:
         edges = edges.join(allowed.select(F.col(item).alias("item_j")), "item_j", "left_semi")
-    scores = liked_scores(edges, history, user, item)
     liked = history.select(user, item)
     skip = liked if exclude_liked else None
     if excluded is not None:
         extra = excluded.select(user, item)
         skip = extra if skip is None else skip.unionByName(extra)
-    if skip is not None:
-        scores = scores.join(skip, [user, item], "left_anti")
+    scores = _open_scores(edges, history, skip, user, item)
     top = rank_scores(scores, n, user, item).select(user, "rank", item, "score")
     if not fill_zero:
         return top

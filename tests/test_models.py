@@ -114,6 +114,27 @@ def test_recommend_matches_plain_scoring(spark, exclude, limited, fill):
     assert lists == want
 
 
+def test_scored_items_of_a_user_meet_by_one_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(item_item, "LIST_EDGES", 3)  # lists of neighbours in several rows
+    m = matrix_df(spark, skewed_matrix(60, 40, 2))
+    edges = item_item_fit(m, 10)
+    got = item_item_recommend(edges, m, 7)
+    # nothing is shuffled once the pairs of user and item are rows
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString().split("Generate posexplode")[0]
+    scores = item_item.liked_scores(edges, m).join(m, ["user_idx", "item_idx"], "left_anti")
+    want = item_item.rank_scores(scores, 7)
+    names = ("user_idx", "rank", "item_idx", "score")
+    assert sorted(got.select(*names).collect()) == sorted(want.select(*names).collect())
+
+
+def test_unlikable_rows_keep_their_scores(spark):
+    edges = spark.createDataFrame([(1, 2, 0.5), (2, 1, 0.5), (2, 3, 0.25), (None, 3, 1.0)], "item_i bigint, item_j bigint, sim double")
+    history = spark.createDataFrame([(7, 1), (7, 9), (None, 2), (8, None)], "user_idx bigint, item_idx bigint")
+    got = item_item_recommend(edges, history, 5, excluded=history.limit(0))
+    # a null user has nothing to exclude
+    assert {tuple(r) for r in got.select("user_idx", "rank", "item_idx", "score").collect()} == {(7, 1, 2, 0.5), (None, 1, 1, 0.5), (None, 2, 3, 0.25)}
+
+
 def test_block_topk_matches_plain_scoring(spark):
     rng = np.random.default_rng(0)
     v = rng.normal(size=(400, 6))
