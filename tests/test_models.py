@@ -135,6 +135,17 @@ def test_unlikable_rows_keep_their_scores(spark):
     assert {tuple(r) for r in got.select("user_idx", "rank", "item_idx", "score").collect()} == {(7, 1, 2, 0.5), (None, 1, 1, 0.5), (None, 2, 3, 0.25)}
 
 
+def test_als_scores_carry_vectors_only_to_known_items(spark):
+    users = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "idx bigint, vec array<double>")
+    items = spark.createDataFrame([(5, [3.0, 4.0]), (6, None)], "idx bigint, vec array<double>")
+    pairs = spark.createDataFrame([(u, i, "x") for u in (1, 2, 3, None) for i in (5, 6, 7, None)] + [(1, 5, "y")], "user_idx bigint, item_idx bigint, tag string")
+    got = als.als_score(als.AlsFactors(users, items), pairs)
+    assert got.columns == ["item_idx", "user_idx", "tag", "score"] and got.count() == 17
+    assert {(r.user_idx, r.item_idx, r.tag, r.score) for r in got.filter("score IS NOT NULL").collect()} == {(1, 5, "x", 11.0), (1, 5, "y", 11.0)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN _known" in plan
+
+
 def test_block_topk_matches_plain_scoring(spark):
     rng = np.random.default_rng(0)
     v = rng.normal(size=(400, 6))
