@@ -68,6 +68,15 @@ def test_vectors(spark):
     assert out[1].u == [0.0, 0.0]
 
 
+def test_a_vector_is_measured_once(spark):
+    df = spark.createDataFrame([([3.0, 4.0, 0.0],), ([],), (None,), ([1.0, None, 0.0],)], "a array<double>")
+    unit = df.select(vx.l2_normalize("a").alias("u"))
+    assert [r.u for r in unit.collect()] == [pytest.approx([0.6, 0.8, 0.0]), [], None, [None, None, None]]
+    # no place of the vector asks for the length again
+    places = unit._jdf.queryExecution().optimizedPlan().toString()
+    assert "/ (SQRT" not in places and places.count("SQRT") == 1
+
+
 def test_request_ids_are_unique(spark):
     ids = spark.range(200).select(fx.request_id().alias("r"))
     assert ids.distinct().count() == 200
